@@ -2,8 +2,37 @@
 
 from __future__ import annotations
 
+import io
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run: the driver serves it to them as an archive."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    path = os.path.join(tempfile.mkdtemp(prefix="kotonoha-package-"), "kotonoha_package.zip")
+    with open(path, "wb") as out:
+        out.write(packed.getvalue())
+    context.addPyFile(path)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One table; also makes the package known to the workers."""
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
