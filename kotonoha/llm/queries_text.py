@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.forms import translate_pairs
 from ..sources.tables import table
-from . import lookalike
+from ..plans.staging import Stage
+from . import copies, lookalike
 
 
 def _fields(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,6 +38,38 @@ def p1_canonical(spark: SparkSession, sf: str) -> DataFrame:
     return lookalike.canonical_texts(_fields(spark, sf), "id", "text", ("field_name",))
 
 
+MANIFEST_FIELDS = ("raw_text", "normalized_text", "reading_kana")
+
+
+def _ledger(spark: SparkSession, sf: str) -> copies.CopyLedger:
+    """The three tables counted batch by batch; tables without a batch number arrive with the first batch."""
+    stage = Stage(spark, "copies")
+    tts = table(spark, sf, "tts_text_samples").select(F.lit("tts_text_samples").alias("space"), F.col("sample_id").alias("id"), F.coalesce("batch_no", F.lit(1)).alias("batch"), copies.text_key("text.raw_text").alias("k"))
+    cases = table(spark, sf, "japanese_text_frontend_regression").select(F.lit("japanese_text_frontend_regression").alias("space"), F.col("case_id").alias("id"), F.lit(1).alias("batch"), copies.text_key("raw_text").alias("k"))
+    lines = table(spark, sf, "raw_manifest_lines").select(F.lit("raw_manifest_lines").alias("space"), F.col("line_id").alias("id"), F.lit(1).alias("batch"), copies.json_key(F.col("line"), MANIFEST_FIELDS).alias("k"))
+    keyed = tts.unionByName(cases).unionByName(lines).select("space", "id", "batch", "k.k1", "k.k2")
+    staged = stage.write(keyed, "keyed")
+    ledger = copies.CopyLedger(spark, stage)
+    numbers = sorted(r["batch"] for r in staged.select("batch").distinct().collect())  # one row per batch ever delivered
+    for i, number in enumerate(numbers):
+        ledger.add(staged.where(F.col("batch") == number).drop("batch"))
+        if i % 4 == 3:
+            ledger.compact()
+    if not numbers:
+        ledger.add(staged.drop("batch"))
+    return ledger
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Each copy of a record that differs only in spacing, case, punctuation or order of fields."""
+    return copies.copies_of(_ledger(spark, sf)).select(F.col("space").alias("table_name"), "first_id", "copy_id")
+
+
+def p3_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """One record per group with its number of copies."""
+    return copies.groups_of(_ledger(spark, sf)).select(F.col("space").alias("table_name"), "first_id", "n_copies")
+
+
 def _sql(x: str) -> str:
     return x.replace("'", "''")
 
@@ -52,13 +85,28 @@ _FIELDS_SQL = """
       union all select distinct 'asr_transcript', qa_id, asr_transcript from generated_audio_qa where asr_transcript is not null"""
 
 
+def bare_oracle(column: str) -> str:
+    return f"regexp_replace(lower({looks_same_oracle(column)}), '[\\s\\pP\\x{{0B}}\\x{{1C}}-\\x{{1F}}\\x{{85}}\\x{{2028}}\\x{{2029}}]', '', 'g')"
+
+
+def _copies_sql() -> str:
+    lines = ", ".join(f"coalesce({bare_oracle(f'json_extract_string(line, {chr(39)}$.{f}{chr(39)})')}, chr(1))" for f in MANIFEST_FIELDS)
+    return f"""
+      select distinct 'tts_text_samples' table_name, sample_id id, {bare_oracle("text.raw_text")} k from tts_text_samples where text.raw_text is not null
+      union all select distinct 'japanese_text_frontend_regression', case_id, {bare_oracle("raw_text")} from japanese_text_frontend_regression where raw_text is not null
+      union all select 'raw_manifest_lines', line_id, concat_ws(chr(2), {lines}) from raw_manifest_lines where json_valid(line)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_canonical": p1_canonical}
+    return {"p1_found": p1_found, "p1_canonical": p1_canonical, "p3_found": p3_found, "p3_groups": p3_groups}
 
 
 def oracle_sql() -> dict[str, str]:
     forms = f"with f as ({_FIELDS_SQL}), k as (select *, {looks_same_oracle('txt')} form from f)"
+    groups = f"with r as materialized ({_copies_sql()}), g as (select table_name, k, min(id) first_id, count(*) n_copies from r group by all)"
     return {
+        "p3_found": f"{groups} select table_name, first_id, id copy_id from r join g using (table_name, k) where id <> first_id",
+        "p3_groups": f"{groups} select table_name, first_id, n_copies from g",
         "p1_found": f"""{forms}, g as (select field_name, form, arg_min(txt, id) first_txt, min(id) first_id from k group by field_name, form)
             select k.field_name, g.first_id, k.id other_id from k join g using (field_name, form) where k.txt <> g.first_txt""",
         "p1_canonical": f"""{forms}, m as (select *, translate(txt, '{_sql(translate_pairs()[0])}', '{_sql(translate_pairs()[1])}') <> txt changed from k),
