@@ -106,7 +106,7 @@ def looks_same(text: str | None) -> str | None:
 
 @functools.cache
 def _bare_drop() -> _Table:
-    return _Table({c: None for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == "P" or chr(c).isspace()})
+    return _Table({c: None for c in range(0x20000) if unicodedata.category(chr(c))[0] == "P" or chr(c).isspace()})
 
 
 def bare_form(text: str | None) -> str | None:
