@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_groups, queries_text
+from . import queries_corpus, queries_groups, queries_text
 
-_PARTS = [queries_text, queries_groups]
+_PARTS = [queries_text, queries_groups, queries_corpus]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
