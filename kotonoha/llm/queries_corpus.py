@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import leakage
+from . import leakage, quality
 from .queries_text import bare_oracle
 
 
@@ -25,13 +25,43 @@ def p7_spans(spark: SparkSession, sf: str) -> DataFrame:
     return _spans(spark, sf)
 
 
+def _kinds(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents")
+    return quality.line_kinds(documents, quality.fit(documents, table(spark, sf, "doc_labels")))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that aren't prose, with their kind."""
+    return _kinds(spark, sf).where("kind <> 'prose'").select("doc_id", "kind")
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of prose, list, table and junk lines of every document, and its kind."""
+    return _kinds(spark, sf)
+
+
+def p8_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Word, symbol and line statistics of every document."""
+    return quality.statistics(table(spark, sf, "documents"), table(spark, sf, "common_words"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p7_found": p7_found, "p7_spans": p7_spans}
+    return {"p7_found": p7_found, "p7_spans": p7_spans, "p8_found": p8_found, "p8_shares": p8_shares, "p8_stats": p8_stats}
 
 
 def oracle_sql() -> dict[str, str]:
     grams = "select {key}, unnest(list_transform(range(1, length(b) - 48), lambda i: substr(b, i, 50))) g from (select {key}, {bare} b from {name} where text is not null) where length(b) >= 50"
+    word = r"[\p{Han}々]+|\p{Hiragana}+|[\p{Katakana}ー]+|\p{Latin}+|[\p{Greek}\p{Cyrillic}]+|[0-9]+"
     return {
+        "p8_stats": f"""with t as (select doc_id, lower(text) t from documents where text is not null),
+            w as (select doc_id, length(t) n, regexp_extract_all(t, '{word}') w, len(regexp_extract_all(t, '[^\\pL\\pM\\pN\\pP\\pZ\\pC]')) s,
+              list_filter(regexp_split_to_array(t, '\\r\\n|\\n|\\r'), lambda x: regexp_matches(x, '[^\\pZ\\t]')) l from t),
+            c as (select list(distinct lower(word)) c from common_words)
+            select doc_id, len(w) n_words, round(coalesce(length(array_to_string(w, '')) / nullif(len(w), 0), 0), 6) mean_word_length,
+              round(coalesce(s / nullif(n, 0), 0), 6) symbol_ratio,
+              round(coalesce(len(list_filter(l, lambda x: regexp_matches(x, '\\pP[\\pZ\\t]*\\z'))) / nullif(len(l), 0), 0), 6) punctuation_line_share,
+              round(coalesce(len(list_filter(w, lambda x: list_contains(c, x))) / nullif(len(w), 0), 0), 6) common_word_share
+            from w, c""",
         "p7_found": f"""with i as materialized (select distinct * from ({grams.format(key="item_id", bare=bare_oracle("text"), name="eval_items")})),
             d as ({grams.format(key="doc_id", bare=bare_oracle("text"), name="documents")})
             select distinct doc_id, item_id from d join i using (g)""",
