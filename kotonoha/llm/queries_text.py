@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.forms import translate_pairs
 from ..sources.tables import table
 from ..plans.staging import Stage
-from . import copies, lookalike
+from . import copies, history, lookalike
 
 
 def _fields(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,6 +70,21 @@ def p3_groups(spark: SparkSession, sf: str) -> DataFrame:
     return copies.groups_of(_ledger(spark, sf)).select(F.col("space").alias("table_name"), "first_id", "n_copies")
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Records turned away, batch by batch, with the accepted record each repeats."""
+    stage = Stage(spark, "history")
+    rows = table(spark, sf, "tts_text_samples").select("sample_id", "batch_no", "text.raw_text")
+    records = history.first_deliveries(rows, "sample_id", "batch_no", "raw_text")
+    keyed = stage.write(records.select("id", "batch", history.bare_key("text").alias("k")).select("id", "batch", "k.*"), "keyed")
+    accepted, found = history.AcceptedHistory(spark, stage), None
+    for number in sorted((r["batch"] for r in keyed.select("batch").distinct().collect()), key=lambda x: (x is None, x)):  # one row per batch
+        part = accepted.add(keyed.where(F.col("batch").eqNullSafe(number)).drop("batch"))
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = accepted.add(keyed.drop("batch"))
+    return found.select(F.least("id", "accepted_id").alias("sample_id_a"), F.greatest("id", "accepted_id").alias("sample_id_b"))
+
+
 def _sql(x: str) -> str:
     return x.replace("'", "''")
 
@@ -98,7 +113,7 @@ def _copies_sql() -> str:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_canonical": p1_canonical, "p3_found": p3_found, "p3_groups": p3_groups}
+    return {"p1_found": p1_found, "p1_canonical": p1_canonical, "p3_found": p3_found, "p3_groups": p3_groups, "p4_found": p4_found}
 
 
 def oracle_sql() -> dict[str, str]:
