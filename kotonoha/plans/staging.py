@@ -35,10 +35,11 @@ class Stage:
         self._n += 1
         return f"{self.root}/{name}-{self._n}"
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as a table and read it back: the plan of the result starts at the files."""
+    def write(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Write ``df`` as a table and read it back: the plan of the result starts at the files. With ``by`` the table is
+        partitioned by that column, so that a filter on it reads only its own files."""
         path = self.path(name)
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self, path: str) -> None:
