@@ -40,11 +40,11 @@ from .copies import _hash
 MIN_CHARS = 40
 SIMILARITY = 0.6
 SHARD_TEXTS = 200_000
-BLOCK_TEXTS = 8_192
+BLOCK_TEXTS = 16_384
 
 FORM = T.StructType([T.StructField("form", T.StringType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())])
 _PARTS = ("sketch", "counts", "keys", "order", "links", "forms", "ids")
-_SHARD = T.StructType([T.StructField("n", T.LongType()), T.StructField("beam", T.IntegerType()), *[T.StructField(p, T.BinaryType()) for p in _PARTS]])
+_SHARD = T.StructType([T.StructField("n", T.LongType()), T.StructField("beam", T.IntegerType()), *[T.StructField(p, T.BinaryType()) for p in _PARTS], T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("similarity", T.DoubleType())])
 _PAIR = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("similarity", T.DoubleType()), T.StructField("own", T.BooleanType())])
 
 
@@ -68,21 +68,39 @@ def _grams(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return smallworld.gram_sets(codes_of("".join(forms)), offsets)
 
 
-def _build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row: the graph over all texts of the partition."""
-    parts = [b for b in batches if len(b)]
-    if not parts:
-        return
-    rows = pd.concat(parts).sort_values("id", kind="stable")  # the same graph whatever the order of arrival
-    forms, ids = rows["form"].tolist(), rows["id"].tolist()
-    graph = smallworld.Graph.build(*_grams(forms))
-    packed = {
-        "sketch": graph.sketch.tobytes(), "counts": graph.counts.tobytes(), "keys": graph.keys.tobytes(), "order": graph.directory.order.tobytes(), "links": graph.links.tobytes(),
-        "forms": pa.compress("\x00".join(forms).encode("utf-8", "surrogatepass"), "zstd", asbytes=True), "ids": "\x00".join(ids).encode(),
-    }
-    size = len("\x00".join(forms).encode("utf-8", "surrogatepass"))
-    packed["forms"] = size.to_bytes(8, "little") + packed["forms"]
-    yield pd.DataFrame([(len(forms), graph.beam, *[packed[p] for p in _PARTS])], columns=_SHARD.names)
+def _build(similarity: float):
+    """The graph over all texts of a partition as one row, then the pairs of its own texts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        rows = pd.concat(parts).sort_values("id", kind="stable")  # the same graph whatever the order of arrival
+        forms, ids = rows["form"].tolist(), rows["id"].tolist()
+        grams, offsets = _grams(forms)
+        graph = smallworld.Graph.build(grams, offsets)
+        text = "\x00".join(forms).encode("utf-8", "surrogatepass")
+        row = {
+            "n": len(forms), "beam": graph.beam, "sketch": graph.sketch.tobytes(), "counts": graph.counts.tobytes(), "keys": graph.keys.tobytes(), "order": graph.directory.order.tobytes(),
+            "links": graph.links.tobytes(), "forms": len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True), "ids": "\x00".join(ids).encode(),
+        }
+        yield _rows(**{k: [v] for k, v in row.items()})
+        if similarity <= 1:
+            q, t = graph.search(grams, offsets, graph.sketch, graph.shared_directory(grams, offsets))
+            q, t = q[t < q], t[t < q]  # texts stand in the order of their ids
+            exact = smallworld.jaccard(grams, offsets, grams, offsets, q, t)
+            good = exact >= similarity
+            for at in range(0, int(good.sum()), 1 << 16):
+                part = slice(at, at + (1 << 16))
+                yield _rows(a=[ids[x] for x in t[good][part].tolist()], b=[ids[x] for x in q[good][part].tolist()], similarity=exact[good][part].tolist())
+
+    return run
+
+
+def _rows(**columns: list) -> pd.DataFrame:
+    n = len(next(iter(columns.values())))
+    kinds = {"n": "Int64", "beam": "Int32", "similarity": "Float64"}
+    return pd.DataFrame({c: pd.Series(columns.get(c, [None] * n), dtype=kinds.get(c, object)) for c in _SHARD.names})
 
 
 class Shard:
@@ -105,7 +123,7 @@ def _shards(uri: str) -> list[Shard]:
     if uri not in _loaded:
         system, path = fs.FileSystem.from_uri(uri)
         with system.open_input_file(path) as source:
-            _loaded[uri] = [Shard(row) for row in pq.read_table(source).to_pylist()]
+            _loaded[uri] = [Shard(row) for row in pq.read_table(source, columns=["n", "beam", *_PARTS], filters=[("n", ">", 0)]).to_pylist()]
         while len(_loaded) > 1 and sum(len(s.ids) for own in _loaded.values() for s in own) > _KEPT_TEXTS:
             _loaded.popitem(last=False)
     _loaded.move_to_end(uri)
@@ -126,9 +144,7 @@ def _search(history: list[str], own: list[str], similarity: float):
         sketch = smallworld.sketches(grams, offsets)
         for uri, same_batch in [*((u, False) for u in history), *((u, True) for u in own)]:
             for shard in _shards(uri):
-                graph = shard.graph
-                shared = graph.shared_directory(*_grams(shard.forms)) if same_batch else None
-                q, t = graph.search(grams, offsets, sketch, shared)
+                q, t = shard.graph.search(grams, offsets, sketch)
                 if same_batch:
                     before = np.fromiter((shard.ids[y] < ids[x] for x, y in zip(q.tolist(), t.tolist())), dtype=bool, count=len(q))
                     q, t = q[before], t[before]
@@ -157,17 +173,21 @@ class AcceptedHistory:
     def add(self, batch: DataFrame) -> DataFrame:
         """(id, accepted_id) of the records of a batch of (id, form, k1, k2) that are turned away."""
         on = ["k1", "k2"]
-        forms = batch.where("form is not null").groupBy(*on).agg(F.min(F.struct("id", "form")).alias("f")).select(*on, "f.id", "f.form")
-        if self.settled is not None:
-            forms = forms.join(self.settled.select(*on), on, "left_anti")
+        rows = batch.where("form is not null")
+        if self.settled is None:
+            old = None
+        else:  # the batch meets the history of forms once; what is left is new
+            rows = self.stage.write(rows.join(self.settled.withColumnRenamed("target", "known"), on, "left"), "met")
+            old = rows.where("known is not null and id <> known").select("id", F.col("known").alias("accepted_id"))
+            rows = rows.where("known is null")
+        forms = rows.groupBy(*on).agg(F.min(F.struct("id", "form")).alias("f")).select(*on, "f.id", "f.form")
         fresh = self.stage.write(forms, "fresh")
         texts = fresh.where(F.length("form") >= self.min_chars).select("id", "form")
         n = texts.count()
         settled = fresh.select(*on, F.col("id").alias("target"))
         if n:
-            segment = self._segment(texts, n)
-            pairs = self._pairs(texts, n, segment)
-            turned = self._settle(pairs)
+            segment = self._segment(texts, n, self.similarity)
+            turned = self._settle(self._pairs(texts, n, segment))
             if turned is not None:
                 target = turned.groupBy("b").agg(F.min(F.struct((-F.col("similarity")).alias("s"), F.col("a"))).alias("best")).select(F.col("b").alias("id"), F.col("best.a").alias("to"))
                 settled = fresh.join(target, "id", "left").select(*on, F.coalesce("to", "id").alias("target"), F.when(F.col("to").isNotNull(), F.col("id")).alias("lost"))
@@ -178,18 +198,22 @@ class AcceptedHistory:
             self.segments.append(segment)
             self._compact()
         self.settled = settled if self.settled is None else self.settled.unionByName(settled)
-        found = batch.select("id", *on).where("k1 is not null").join(self.settled, on).where("id <> target")
-        return self.stage.write(found.select("id", F.col("target").alias("accepted_id")), "found")
+        found = rows.select("id", *on).join(settled, on).where("id <> target").select("id", F.col("target").alias("accepted_id"))
+        return found if old is None else found.unionByName(old)
 
-    def _segment(self, texts: DataFrame, n: int) -> dict:
+    def _segment(self, texts: DataFrame, n: int, similarity: float = 2.0) -> dict:
+        """Graph shards of the texts; similar pairs within a shard are found while it is at hand (none above 1)."""
         shards = math.ceil(n / self.shard_texts)
-        built = self.stage.write(texts.repartition(shards, "id").mapInPandas(_build, _SHARD), "graph")
-        return {"n": n, "files": sorted(built.inputFiles()), "texts": texts}
+        built = self.stage.write(texts.repartition(shards, "id").mapInPandas(_build(similarity), _SHARD), "graph")
+        return {"n": n, "files": sorted(built.inputFiles()), "texts": texts, "rows": built, "shards": shards}
 
     def _pairs(self, texts: DataFrame, n: int, segment: dict) -> DataFrame:
+        pairs = segment["rows"].where("a is not null").select("a", "b", "similarity", F.lit(True).alias("own"))
         history = [f for s in self.segments for f in s["files"]]
-        blocks = texts.repartition(max(1, math.ceil(n / BLOCK_TEXTS)), "id")
-        pairs = blocks.mapInPandas(_search(history, segment["files"], self.similarity), _PAIR)
+        others = segment["files"] if segment["shards"] > 1 else []
+        if history or others:
+            blocks = texts.repartition(max(1, math.ceil(n / BLOCK_TEXTS)), "id")
+            pairs = pairs.unionByName(blocks.mapInPandas(_search(history, others, self.similarity), _PAIR))
         if self.rejected is not None:
             pairs = pairs.join(self.rejected.select(F.col("id").alias("a")), "a", "left_anti")
         return self.stage.write(pairs, "pairs")

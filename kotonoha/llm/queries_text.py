@@ -48,7 +48,7 @@ def _ledger(spark: SparkSession, sf: str) -> copies.CopyLedger:
     cases = table(spark, sf, "japanese_text_frontend_regression").select(F.lit("japanese_text_frontend_regression").alias("space"), F.col("case_id").alias("id"), F.lit(1).alias("batch"), copies.text_key("raw_text").alias("k"))
     lines = table(spark, sf, "raw_manifest_lines").select(F.lit("raw_manifest_lines").alias("space"), F.col("line_id").alias("id"), F.lit(1).alias("batch"), copies.json_key(F.col("line"), MANIFEST_FIELDS).alias("k"))
     keyed = tts.unionByName(cases).unionByName(lines).select("space", "id", "batch", "k.k1", "k.k2")
-    staged = stage.write(keyed, "keyed")
+    staged = stage.write(keyed, "keyed", "batch")
     ledger = copies.CopyLedger(spark, stage)
     numbers = sorted(r["batch"] for r in staged.select("batch").distinct().collect())  # one row per batch ever delivered
     for i, number in enumerate(numbers):
@@ -75,7 +75,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     stage = Stage(spark, "history")
     rows = table(spark, sf, "tts_text_samples").select("sample_id", "batch_no", "text.raw_text")
     records = history.first_deliveries(rows, "sample_id", "batch_no", "raw_text")
-    keyed = stage.write(records.select("id", "batch", history.bare_key("text").alias("k")).select("id", "batch", "k.*"), "keyed")
+    keyed = stage.write(records.select("id", "batch", history.bare_key("text").alias("k")).select("id", "batch", "k.*"), "keyed", "batch")
     accepted, found = history.AcceptedHistory(spark, stage), None
     for number in sorted((r["batch"] for r in keyed.select("batch").distinct().collect()), key=lambda x: (x is None, x)):  # one row per batch
         part = accepted.add(keyed.where(F.col("batch").eqNullSafe(number)).drop("batch"))

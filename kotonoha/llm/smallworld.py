@@ -2,7 +2,7 @@
 
 A text is its set of three-character sequences, kept as sorted hashes. Its sketch has one byte for each of 64 ranges of the
 hash space, taken from the smallest hash in it, so the share of equal bytes estimates the Jaccard similarity of two sets. Its
-entry keys are the hashes, one for each of 12 ranges, that the fewest texts of the shard have.
+entry keys are the hashes, one for each of 10 ranges, that the fewest texts of the shard have.
 
 A graph links every text to the nearest of those that stand next to it in the order of some entry key, both ways, and to a
 random one for long steps. A search enters at the texts that share an entry key with the query, or at fixed
@@ -18,9 +18,11 @@ import numpy as np
 
 BINS = 64
 WORDS = BINS // 8
-KEYS = 12
+KEYS = 10
 #: Differing bytes. At similarity 0.6 there are 26 on average, and at most 46 but for 3 standard deviations of the shortest texts and more.
 NEAR = 46
+#: Texts farther away than this aren't expanded: they share little but stock phrases, and lead to more of the same.
+FAR = 52
 LINKS = 10
 BEAMS = (8, 16, 32, 64, 128)
 LANDMARKS = 4
@@ -165,6 +167,7 @@ class Graph:
     def __init__(self, sketch: np.ndarray, counts: np.ndarray, keys: np.ndarray, links: np.ndarray, beam: int, order: np.ndarray | None = None):
         self.sketch, self.counts, self.keys, self.links, self.beam = sketch, counts, keys, links, beam
         self.directory = Directory(keys, order)
+        self.reach = np.int64(FAR + 1) << 33
         self.landmarks = np.unique(np.linspace(0, len(sketch) - 1, LANDMARKS).astype(np.int64)) if len(sketch) else np.zeros(0, dtype=np.int64)
 
     @staticmethod
@@ -253,9 +256,9 @@ class Graph:
         while True:
             rows, picked = np.arange(len(live)), []
             for _ in range(3):
-                col = ((at & 1 == 0) & (at < _GONE)).argmax(axis=1)
+                col = ((at & 1 == 0) & (at < self.reach)).argmax(axis=1)
                 key = at[rows, col]
-                some = (key & 1 == 0) & (key < _GONE)
+                some = (key & 1 == 0) & (key < self.reach)
                 picked.append(np.where(some, (key >> 1) & 0xFFFFFFFF, -1))
                 at[rows, col] |= some
             picked = np.stack(picked, axis=1)
