@@ -136,6 +136,7 @@ class LineModel:
         self.start = np.log(np.full(4, 0.25))  # kept even: how common a kind is says little of a single text
         self.step = np.log(np.full((4, 4), 0.25))
         self.emit = np.zeros((4, N_SYMBOLS))
+        self.fitted = False
 
     # Line statistics ---------------------------------------------------------------------------------------------
 
@@ -210,6 +211,7 @@ class LineModel:
         docs = docs[::2] + docs[1::2]
         half = (len(docs) + 1) // 2
         model = LineModel()
+        model.fitted = bool(docs)
         model._fit_follow(_readable(docs), max_chars)
         lines = [x for own, _ in docs for x in own]
         sizes = np.array([len(own) for own, _ in docs], dtype=np.int64)

@@ -90,7 +90,7 @@ def _label(model: LineModel):
         shares = counts / np.maximum(sizes, 1)[:, None]
         kinds = []
         for own, share in zip(docs, shares):
-            rule = kind_by_rule(own) if own and share[0] < 1 else None
+            rule = kind_by_rule(own) if own and (share[0] < 1 or not model.fitted) else None
             kinds.append(rule or ("junk" if not own or share[JUNK] > 0.5 else "prose"))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes.astype(np.int32)), *[pa.array(np.round(shares[:, k], 6)) for k in range(4)], pa.array(kinds)], schema=schema
