@@ -226,3 +226,11 @@ def utc_text(moment: Column) -> Column:
     whole = F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss")
     part = F.when(micros % 1_000_000 != 0, F.concat(F.lit("."), F.lpad((F.pmod(micros, F.lit(1_000_000))).cast("string"), 6, "0"))).otherwise("")
     return F.concat(whole, part, F.lit("+00:00"))
+
+
+def verified_substitution(text: Column, replacements: dict[str, str], expected: dict[str, int]) -> Column:
+    """struct(text, error): the substituted text if each surface occurs as often as recorded, else what differs."""
+    found = matches(text, list(replacements)) if replacements else F.array().cast("array<string>")
+    off = [F.when(F.size(found) - F.size(F.array_remove(found, s)) != n, F.lit(s)) for s, n in sorted(expected.items())]
+    wrong = F.array_join(F.array_compact(F.array(*off)), ",") if off else F.lit("")
+    return F.struct(F.when(wrong == "", substitute(text, replacements)).alias("text"), F.nullif(wrong, F.lit("")).alias("error"))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..functions import sets, text as tx
 from ..operators import history as hx
 from ..operators import integrity, issues
-from ..sources import audio, manifests
+from ..sources import audio, contracts, manifests
 from ..sources.tables import table
 
 LINE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("raw_text", "normalized_text", "reading_kana")])
@@ -176,10 +176,25 @@ def unique_batches(spark: SparkSession, sf: str) -> DataFrame:
     return integrity.assert_unique(rows, ["sample_id", "batch_no", "loaded_at"]).groupBy("batch_no").agg(F.count("*").alias("n"), F.countDistinct("sample_id").alias("n_records"))
 
 
+def contract_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Speech records that break a check between their fields, with the names of the checks."""
+    rows = table(spark, sf, "sample_manifest")
+    bad = contracts.violations(contracts.speech_checks())
+    return rows.select("sample_id", F.unix_micros("loaded_at").alias("loaded_us"), F.array_join(bad, ",").alias("broken")).where("broken <> ''")
+
+
+def planned_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items as regions of their order: one segment each, numbered, with the time spoken in all of them."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("q"))
+    region = F.struct(((F.col("l_linenumber") - 1) * 100).cast("long").alias("start"), ((F.col("l_linenumber") - 1) * 100 + F.col("q")).cast("long").alias("end"))
+    parents = rows.groupBy(F.concat(F.lit("order "), F.col("l_orderkey").cast("string")).alias("id")).agg(F.array_sort(F.collect_list(region)).alias("regions")).withColumn("rate", F.lit(100))
+    return audio.cut(parents, "regions", "rate", "id").select("segment_id", F.round("start_sec", 6).alias("start_sec"), F.round("end_sec", 6).alias("end_sec"), F.round("spoken_sec", 6).alias("spoken_sec"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         speech_checks, speech_summary, issue_histogram, passed_speech, duplicate_texts, latest_review, review_reuse, upserted_runs, evidence_chain, regression_diff,
-        regression_summary, gate_sets, manifest_lines, document_lines, bad_regions, stage_steps, waveform_tails, common_samples, unique_batches,
+        regression_summary, gate_sets, manifest_lines, document_lines, bad_regions, stage_steps, waveform_tails, common_samples, unique_batches, contract_violations, planned_segments,
     )
     return {f.__name__: f for f in own}
 
@@ -236,6 +251,15 @@ def oracle_sql() -> dict[str, str]:
         "waveform_tails": """with e as (select vec_id, list_transform(embedding, lambda v: abs(cast(v as double))) x from embeddings)
             select vec_id, round(list_max(x), 6) peak, round(sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x)), 6) rms,
               len(x) - coalesce(list_max(list_filter(list_transform(x, lambda v, i: case when v > power(10.0, -2.5) then i end), lambda k: k is not null)), 0) trailing_samples, cast(7200 as bigint) padding, len(x) n from e""",
+        "contract_violations": """with c as (select sample_id, epoch_us(loaded_at) loaded_us, concat_ws(',', case when not audio.channels > 0 then 'channels_not_positive' end, case when not audio.duration_sec >= 0 then 'duration_negative' end,
+              case when coalesce(trim(sample_id), '') = '' then 'id_blank' end, case when metadata is not null and not json_valid(metadata) then 'metadata_not_json' end,
+              case when trim(lineage.parent_sample_id) = trim(sample_id) then 'own_parent' end, case when not audio.sample_rate_hz > 0 then 'rate_not_positive' end,
+              case when not lineage.segment_end_sec >= lineage.segment_start_sec then 'segment_backward' end, case when (lineage.segment_start_sec is null) <> (lineage.segment_end_sec is null) then 'segment_half_open' end,
+              case when lineage.segment_start_sec is not null and lineage.parent_sample_id is null then 'segment_without_parent' end, case when schema_version <> '1.0' then 'version_unknown' end) broken from sample_manifest)
+            select * from c where broken <> ''""",
+        "planned_segments": """with r as (select 'order ' || l_orderkey id, (l_linenumber - 1) * 100 a, (l_linenumber - 1) * 100 + cast(l_quantity as bigint) b from lineitem),
+            n as (select *, cast(row_number() over (partition by id order by a, b) as varchar) k, sum(b - a) over (partition by id) s from r)
+            select replace(id, ' ', '_') || '_' || left(sha256(id), 8) || '__seg' || lpad(k, greatest(4, length(k))::int, '0') segment_id, round(a / 100, 6) start_sec, round(b / 100, 6) end_sec, round(s / 100, 6) spoken_sec from n""",
         "common_samples": "select distinct sample_id from generated_audio_qa where sample_id in (select sample_id from pronunciation_evidence)",
         "unique_batches": "select batch_no, count(*) n, count(distinct sample_id) n_records from tts_text_samples group by batch_no",
     }

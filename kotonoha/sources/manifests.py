@@ -29,17 +29,17 @@ def _corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
 
 
-def json_keys(value: Column) -> Column:
-    return F.json_object_keys(value)
+def _prefixed(names: Column, prefix: Column) -> Column:
+    return F.transform(names, lambda n: F.concat(prefix, n))
 
 
 def unknown_fields(line: Column, schema: T.StructType) -> Column:
     """Names that the schema doesn't have, at any level of nested objects, as paths in order."""
-    found = [F.transform(F.array_except(F.json_object_keys(line), F.array(*[F.lit(f.name) for f in schema.fields])), lambda k: k)]
+    found = [F.array_except(F.json_object_keys(line), F.array(*[F.lit(f.name) for f in schema.fields]))]
     for f in schema.fields:
         if isinstance(f.dataType, T.StructType):
-            inner = unknown_fields(F.get_json_object(line, f"$.{f.name}"), f.dataType)
-            found.append(F.transform(inner, lambda k, n=f.name: F.concat(F.lit(f"{n}."), k)))
+            inner, prefix = unknown_fields(F.get_json_object(line, f"$.{f.name}"), f.dataType), F.lit(f"{f.name}.")
+            found.append(_prefixed(inner, prefix))
     return F.concat(*[F.coalesce(x, F.array().cast("array<string>")) for x in found])
 
 

@@ -69,6 +69,8 @@ def test_manifests(spark, tmp_path):
         bad.write_text('{"sample_id":"a","text":null}\n' + line + "\n")
         with pytest.raises(Exception, match=":2: "):
             manifests.read_manifest(spark, str(bad), SCHEMA).collect()
+    odd = spark.createDataFrame([('{"a":1,"sample_id":"x","text":{"raw":"y","odd":2}}',)], "line string")
+    assert odd.select(manifests.unknown_fields(F.col("line"), SCHEMA)).first()[0] == ["a", "text.odd"]
     with pytest.raises(Exception, match="repeated"):
         twice = tmp_path / "twice.jsonl"
         twice.write_text('{"sample_id":"a"}\n{"sample_id":"a"}\n')
