@@ -39,7 +39,7 @@ from .copies import _hash
 
 MIN_CHARS = 40
 SIMILARITY = 0.6
-SHARD_TEXTS = 200_000
+SHARD_TEXTS = 100_000
 BLOCK_TEXTS = 16_384
 
 FORM = T.StructType([T.StructField("form", T.StringType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())])
