@@ -48,16 +48,16 @@ class Patterns:
             codes = codes_of(f)
             cut = fmindex.cuts(codes)
             hashes = fmindex.phrase_hashes(codes, cut[:-1], cut[1:]) if len(cut) > 1 else np.zeros(0, dtype=np.uint64)
-            seen = set()
-            for p in range(len(codes) - min_run + 1):
-                lo = int(np.searchsorted(cut, p + fmindex.BEFORE))
-                hi = int(np.searchsorted(cut, p + min_run - 1 - fmindex.AFTER, side="right")) - 1
-                if hi <= lo:
-                    self.literal.append((k, p))
-                elif (lo, hi) not in seen:
-                    seen.add((lo, hi))
+            runs = np.arange(len(codes) - min_run + 1)
+            low = np.searchsorted(cut, runs + fmindex.BEFORE)
+            high = np.searchsorted(cut, runs + min_run - 1 - fmindex.AFTER, side="right") - 1
+            self.literal += [(k, p) for p in runs[high <= low].tolist()]
             # A pattern that holds a shorter one of the same item is implied by it.
-            least = [x for x in sorted(seen) if not any(y != x and x[0] <= y[0] and y[1] <= x[1] for y in seen)]
+            least, end = [], len(cut)
+            for lo, hi in sorted(set(zip(low[high > low].tolist(), high[high > low].tolist())), key=lambda x: (-x[0], x[1])):
+                if hi < end:
+                    least.append((lo, hi))
+                    end = hi
             for lo, hi in least:
                 seqs.append(hashes[lo:hi])
                 self.form.append(k)
