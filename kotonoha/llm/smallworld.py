@@ -14,6 +14,8 @@ Jaccard similarity of 0.6) are found as often as exhaustive search finds them; i
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 BINS = 64
@@ -72,8 +74,19 @@ def _smallest(grams: np.ndarray, offsets: np.ndarray, bins: int) -> np.ndarray:
     return out.reshape(n, bins)
 
 
+def _blocks(grams: np.ndarray, offsets: np.ndarray, size: int = 8192) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The sets in blocks of texts, to keep intermediate arrays small."""
+    for at in range(0, max(len(offsets) - 1, 1), size):
+        own = offsets[at : at + size + 1]
+        yield grams[own[0] : own[-1]], own - own[0]
+
+
 def sketches(grams: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """(n, WORDS) uint64: one byte for each range. An empty range takes the byte of the next one that isn't, turned on."""
+    return np.concatenate([_sketches(*block) for block in _blocks(grams, offsets)])
+
+
+def _sketches(grams: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     low = _smallest(grams, offsets, BINS)
     place = np.where(low > 0, np.arange(BINS), 10 * BINS)
     ahead = np.minimum.accumulate(np.concatenate((place, place + BINS), axis=1)[:, ::-1], axis=1)[:, ::-1][:, :BINS]
@@ -93,6 +106,10 @@ def entry_keys(grams: np.ndarray, offsets: np.ndarray, counts: np.ndarray, least
 
     The rarest stands in the high bits, so texts that share it stand together, those that share the next one closest.
     """
+    return np.concatenate([_entry_keys(*block, counts, least) for block in _blocks(grams, offsets)])
+
+
+def _entry_keys(grams: np.ndarray, offsets: np.ndarray, counts: np.ndarray, least: int) -> np.ndarray:
     n = len(offsets) - 1
     owner = np.repeat(np.arange(n), np.diff(offsets))
     place = owner * KEYS + (grams * np.uint64(KEYS) >> np.uint64(_HASH_BITS)).astype(np.int64)
