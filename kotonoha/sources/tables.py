@@ -4,32 +4,39 @@ from __future__ import annotations
 
 import io
 import os
-import tempfile
 import zipfile
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.staging import shared_dir
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever they run: the driver serves it to them as an archive."""
+    """Let Python workers import this package wherever they run: an archive of it in the shared folder is given to them.
+
+    Not needed, and not done, where the package's folder is on the PYTHONPATH that workers inherit.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     context = spark.sparkContext
-    if context.applicationId in _shipped:
+    if context.applicationId in _shipped or os.path.dirname(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
         return
     _shipped.add(context.applicationId)
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     packed = io.BytesIO()
     with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
         for folder, _, names in os.walk(root):
-            for name in names:
+            for name in sorted(names):
                 if name.endswith(".py"):
                     path = os.path.join(folder, name)
                     archive.write(path, os.path.relpath(path, os.path.dirname(root)))
-    path = os.path.join(tempfile.mkdtemp(prefix="kotonoha-package-"), "kotonoha_package.zip")
-    with open(path, "wb") as out:
+    uri = f"{shared_dir(spark)}/kotonoha-{context.applicationId}.zip"
+    system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(os.path.dirname(path), recursive=True)
+    with system.open_output_stream(path) as out:
         out.write(packed.getvalue())
-    context.addPyFile(path)
+    context.addPyFile(uri)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
