@@ -7,9 +7,11 @@ a local one is made. A written table survives the loss of executors, is compress
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -22,13 +24,18 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
+def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI as Spark writes it, and the path in it."""
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+
 class Stage:
     """A folder of written tables below the shared folder, removed at exit or by ``close``."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        self._n = 0
+        self._n, self._pid = 0, os.getpid()
         atexit.register(self.close)
 
     def path(self, name: str) -> str:
@@ -43,13 +50,14 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self, path: str) -> None:
+        """Delete a folder; goes past the session, which may have ended already."""
         try:
-            jvm = self.spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001  (the session may have ended already; the folder is then the cluster's to clear)
+            system, where = filesystem(path)
+            system.delete_dir(where)
+        except (OSError, ValueError):  # gone already, or a kind of storage only the cluster can clear
             pass
 
     def close(self) -> None:
-        if self.spark.sparkContext._jsc is not None:
+        """Delete all tables of this stage, if this is the process that made them."""
+        if os.getpid() == self._pid:
             self.remove(self.root)

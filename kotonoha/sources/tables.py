@@ -6,10 +6,9 @@ import io
 import os
 import zipfile
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
-from ..plans.staging import shared_dir
+from ..plans.staging import filesystem, shared_dir
 
 _shipped: set[str] = set()
 
@@ -32,7 +31,7 @@ def ship_package(spark: SparkSession) -> None:
                     path = os.path.join(folder, name)
                     archive.write(path, os.path.relpath(path, os.path.dirname(root)))
     uri = f"{shared_dir(spark)}/kotonoha-{context.applicationId}.zip"
-    system, path = fs.FileSystem.from_uri(uri)
+    system, path = filesystem(uri)
     system.create_dir(os.path.dirname(path), recursive=True)
     with system.open_output_stream(path) as out:
         out.write(packed.getvalue())
