@@ -27,13 +27,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.forms import bare_batch, codes_of
-from ..plans.staging import Stage
+from ..plans.staging import Stage, filesystem
 from . import smallworld
 from .copies import _hash
 
@@ -121,7 +120,7 @@ _KEPT_TEXTS = 2 * SHARD_TEXTS
 def _shards(uri: str) -> list[Shard]:
     """The shards in a file, kept by the worker while there is room."""
     if uri not in _loaded:
-        system, path = fs.FileSystem.from_uri(uri)
+        system, path = filesystem(uri)
         with system.open_input_file(path) as source:
             _loaded[uri] = [Shard(row) for row in pq.read_table(source, columns=["n", "beam", *_PARTS], filters=[("n", ">", 0)]).to_pylist()]
         while len(_loaded) > 1 and sum(len(s.ids) for own in _loaded.values() for s in own) > _KEPT_TEXTS:
