@@ -85,13 +85,14 @@ def _build(similarity: float):
         }
         yield _rows(**{k: [v] for k, v in row.items()})
         if similarity <= 1:
-            q, t = graph.search(grams, offsets, graph.sketch, graph.shared_directory(grams, offsets))
-            q, t = q[t < q], t[t < q]  # texts stand in the order of their ids
-            exact = smallworld.jaccard(grams, offsets, grams, offsets, q, t)
-            good = exact >= similarity
-            for at in range(0, int(good.sum()), 1 << 16):
-                part = slice(at, at + (1 << 16))
-                yield _rows(a=[ids[x] for x in t[good][part].tolist()], b=[ids[x] for x in q[good][part].tolist()], similarity=exact[good][part].tolist())
+            for q, t in graph.found(grams, offsets, graph.sketch, graph.shared_directory(grams, offsets)):
+                q, t = q[t < q], t[t < q]  # texts stand in the order of their ids
+                exact = smallworld.jaccard(grams, offsets, grams, offsets, q, t)
+                good = exact >= similarity
+                q, t, exact = q[good], t[good], exact[good]
+                for at in range(0, len(q), 1 << 16):
+                    part = slice(at, at + (1 << 16))
+                    yield _rows(a=[ids[x] for x in t[part].tolist()], b=[ids[x] for x in q[part].tolist()], similarity=exact[part].tolist())
 
     return run
 
@@ -143,18 +144,18 @@ def _search(history: list[str], own: list[str], similarity: float):
         sketch = smallworld.sketches(grams, offsets)
         for uri, same_batch in [*((u, False) for u in history), *((u, True) for u in own)]:
             for shard in _shards(uri):
-                q, t = shard.graph.search(grams, offsets, sketch)
-                if same_batch:
-                    before = np.fromiter((shard.ids[y] < ids[x] for x, y in zip(q.tolist(), t.tolist())), dtype=bool, count=len(q))
-                    q, t = q[before], t[before]
-                if not len(q):
-                    continue
-                texts, place = np.unique(t, return_inverse=True)
-                exact = smallworld.jaccard(grams, offsets, *_grams([shard.forms[x] for x in texts.tolist()]), q, place)
-                good = exact >= similarity
-                yield pd.DataFrame(
-                    {"a": pd.Series([shard.ids[x] for x in t[good].tolist()], dtype=object), "b": pd.Series([ids[x] for x in q[good].tolist()], dtype=object), "similarity": exact[good], "own": same_batch}
-                )
+                for q, t in shard.graph.found(grams, offsets, sketch):
+                    if same_batch:
+                        before = np.fromiter((shard.ids[y] < ids[x] for x, y in zip(q.tolist(), t.tolist())), dtype=bool, count=len(q))
+                        q, t = q[before], t[before]
+                    if not len(q):
+                        continue
+                    texts, place = np.unique(t, return_inverse=True)
+                    exact = smallworld.jaccard(grams, offsets, *_grams([shard.forms[x] for x in texts.tolist()]), q, place)
+                    good = exact >= similarity
+                    yield pd.DataFrame(
+                        {"a": pd.Series([shard.ids[x] for x in t[good].tolist()], dtype=object), "b": pd.Series([ids[x] for x in q[good].tolist()], dtype=object), "similarity": exact[good], "own": same_batch}
+                    )
 
     return run
 

@@ -8,8 +8,10 @@ A graph links every text to the nearest of those that stand next to it in the or
 random one for long steps. A search enters at the texts that share an entry key with the query, or at fixed
 landmarks, and follows links: each query keeps a beam of the nearest texts seen and expands them until none is left
 unexpanded; a block of queries moves in lockstep. Every text seen within ``NEAR`` is a candidate, whether or not it
-stays in the beam. When a graph is built, its beam is widened until disturbed members (a quarter of their set replaced, a
-Jaccard similarity of 0.6) are found as often as exhaustive search finds them; if no width does, it is searched exhaustively.
+stays in the beam. A query that sees as many near texts as its beam or a text's links hold may have missed more of them, so it is
+compared with all sketches of the shard. When a graph is built, its beam is widened until all texts that are ``ALIKE`` to disturbed
+members (a quarter of their set replaced), to members and to members with the most near links, the latter two by the shared keys, are
+found as often as comparing with all sketches finds them; if no width does, it is searched exhaustively.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ NEAR = 46
 FAR = 52
 LINKS = 10
 BEAMS = (8, 16, 32, 64, 128)
+#: Jaccard similarity of the texts that a search must find when its beam is chosen.
+ALIKE = 0.5
 LANDMARKS = 4
 ENTRIES = 4
 STEPS = 3
@@ -140,9 +144,14 @@ def pair_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Differing bytes of every row of a and every row of b."""
-    out = np.zeros((len(a), len(b)), dtype=np.int16)
-    for w in range(WORDS):
-        out += _unlike(a[:, None, w] ^ b[None, :, w])
+    out, x, y = (np.zeros((len(a), len(b)), dtype=kind) for kind in (np.uint8, np.uint64, np.uint64))
+    for v, w in zip(np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)):  # _unlike without new arrays
+        np.bitwise_xor(v[:, None], w, out=x)
+        np.bitwise_and(x, _LOW7, out=y)
+        y += _LOW7
+        y |= x
+        y &= _HIGH
+        out += np.bitwise_count(y)
     return out
 
 
@@ -184,6 +193,7 @@ class Graph:
     def __init__(self, sketch: np.ndarray, counts: np.ndarray, keys: np.ndarray, links: np.ndarray, beam: int, order: np.ndarray | None = None):
         self.sketch, self.counts, self.keys, self.links, self.beam = sketch, counts, keys, links, beam
         self.directory = Directory(keys, order)
+        self.crowd = np.zeros(len(sketch), dtype=np.int64)  # near links of each text, known while the graph is built
         self.reach = np.int64(FAR + 1) << 33
         self.landmarks = np.unique(np.linspace(0, len(sketch) - 1, LANDMARKS).astype(np.int64)) if len(sketch) else np.zeros(0, dtype=np.int64)
 
@@ -207,6 +217,7 @@ class Graph:
                 found[a, LINKS + 2 * step - 2], found[b, LINKS + 2 * step - 1] = d | b, d | a
             best = _nearest(found, LINKS)
         near = np.where(best < _GONE, best & 0xFFFFFFFF, -1).astype(np.int32)
+        graph.crowd = (best >> 32 <= NEAR).sum(axis=1)
         far = np.random.default_rng(n).integers(0, max(n, 1), (n, 1)).astype(np.int32)
         graph.links = np.concatenate((near, _reverse(near, best >> 32), far), axis=1)
         if tuned and n:
@@ -223,13 +234,22 @@ class Graph:
             kept = own[rng.random(len(own)) >= 0.25]
             others = grams[rng.integers(0, len(grams), len(own) - len(kept))]  # what other texts hold, as edits bring in
             sets.append(np.unique(np.concatenate((kept, others))))
-        disturbed, at = np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])))
-        sketch = sketches(disturbed, at)
-        truth = {(q, t) for q, t in enumerate(chosen.tolist()) if pair_distances(sketch[q], self.sketch[t]) <= NEAR}
+        crowded = np.argsort(-self.crowd, kind="stable")[: len(chosen)]
+        shared = self.shared_directory(grams, offsets)
+        trials = [(_joined(sets), None)] + [(_joined([grams[offsets[i] : offsets[i + 1]] for i in own.tolist()]), shared) for own in (chosen, crowded)]
+        trials = [(own, at, sketches(own, at), keys) for (own, at), keys in trials]
+        truths = []
+        for own, at, sketch, _ in trials:
+            q, t = self._all(sketch)
+            good = jaccard(own, at, grams, offsets, q, t) >= ALIKE
+            truths.append(q[good] << 32 | t[good])
         for beam in BEAMS:
             self.beam = beam
-            found = set(zip(*(x.tolist() for x in self.search(disturbed, at, sketch))))
-            if len(truth & found) >= least * len(truth):
+            for truth, (own, at, sketch, keys) in zip(truths, trials):
+                q, t = self.search(own, at, sketch, keys)
+                if np.isin(truth, q << 32 | t).sum() < least * len(truth):
+                    break
+            else:
                 return
         self.beam = 0
 
@@ -240,19 +260,38 @@ class Graph:
 
     def search(self, grams: np.ndarray, offsets: np.ndarray, sketch: np.ndarray, shared: Directory | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(query, text) for all texts seen within NEAR of a query; with ``shared`` the queries are the shard's own texts."""
+        out = list(self.found(grams, offsets, sketch, shared)) or [(np.zeros(0, dtype=np.int64),) * 2]
+        return np.concatenate([q for q, _ in out]), np.concatenate([t for _, t in out])
+
+    def found(self, grams: np.ndarray, offsets: np.ndarray, sketch: np.ndarray, shared: Directory | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The pairs of ``search`` in parts, each with all pairs of its queries: in crowds of near texts they are many."""
         if not len(self.sketch) or not len(sketch):
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+            return
         if not self.beam or len(self.sketch) <= 128:
-            out, step = [self._all(sketch[at : at + 256]) for at in range(0, len(sketch), 256)], 256
-        else:
-            keys, step = entry_keys(grams, offsets, self.counts, 2 if shared else 1), 4096
-            directory = shared or self.directory
-            out = [self._block(sketch[at : at + step], directory.entries(keys[at : at + step], self.landmarks)) for at in range(0, len(sketch), step)]
-        return np.concatenate([q + step * i for i, (q, _) in enumerate(out)]), np.concatenate([t for _, t in out])
+            yield from self._exact(sketch, np.arange(len(sketch)))
+            return
+        keys, step = entry_keys(grams, offsets, self.counts, 2 if shared else 1), 4096
+        directory, few = shared or self.directory, min(self.beam, LINKS)
+        for at in range(0, len(sketch), step):
+            q, t = self._block(sketch[at : at + step], directory.entries(keys[at : at + step], self.landmarks))
+            full = np.bincount(q, minlength=min(step, len(sketch) - at)) >= few
+            yield q[~full[q]] + at, t[~full[q]]
+            yield from self._exact(sketch, at + np.flatnonzero(full))
+
+    def _exact(self, sketch: np.ndarray, chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(chosen), 256):
+            own = chosen[at : at + 256]
+            q, t = self._all(sketch[own])
+            yield own[q], t
 
     def _all(self, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        parts = [np.nonzero(distances(sketch, self.sketch[at : at + 65536]) <= NEAR) for at in range(0, len(self.sketch), 65536)]
-        return np.concatenate([q for q, _ in parts]), np.concatenate([t + 65536 * i for i, (_, t) in enumerate(parts)])
+        """(query, text) for all texts within NEAR, in tiles that stay in the cache."""
+        parts = [(np.zeros(0, dtype=np.int64),) * 2]
+        for i in range(0, len(sketch), 64):
+            for j in range(0, len(self.sketch), 4096):
+                q, t = np.nonzero(distances(sketch[i : i + 64], self.sketch[j : j + 4096]) <= NEAR)
+                parts.append((q + i, t + j))
+        return np.concatenate([q for q, _ in parts]), np.concatenate([t for _, t in parts])
 
     def _block(self, sketch: np.ndarray, enter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         beam, live, hits = self.beam, np.arange(len(sketch)), []
@@ -294,6 +333,10 @@ class Graph:
         return pairs >> 32, pairs & 0xFFFFFFFF
 
 
+def _joined(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+
+
 def _reverse(near: np.ndarray, far: np.ndarray) -> np.ndarray:
     """For each text the nearest LINKS of those that link to it."""
     n = len(near)
