@@ -42,3 +42,12 @@ def test_beam_is_widened_for_texts_that_only_the_shared_keys_lead_to():
     graph.links, graph.shared_directory = crippled, plain
     graph._tune(grams, offsets)
     assert graph.beam > 0
+
+
+def test_search_walks_through_far_texts():
+    grams, offsets = history._grams(crowded_texts(100, 0, 0, 3))
+    graph = smallworld.Graph.build(grams, offsets, tuned=False)
+    graph.links, graph.beam = (np.arange(100, dtype=np.int32)[:, None] + 1) % 100, 128
+    assert smallworld.distances(graph.sketch[57:58], graph.sketch[:1])[0, 0] > 52
+    q, t = graph._block(graph.sketch[57:58], np.array([[0, -1]]))
+    assert (0, 57) in zip(q.tolist(), t.tolist())
