@@ -18,7 +18,8 @@ BREAKS = r"\r\n|\n|\r"
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, line) of text files. A last line break ends the last line; an empty file has no lines.
 
-    Numbering needs whole files, one row each; manifests of unbounded size go through ``read_manifest`` without numbers.
+    Numbering needs whole files, one row each, in ``read_manifest`` and ``ingest_lines`` too, so a file must fit in a task's memory;
+    a larger manifest must come in several files.
     """
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
     cut = F.split(F.regexp_replace("value", rf"(?:{BREAKS})\z", ""), BREAKS, -1)
