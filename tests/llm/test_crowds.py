@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 
 from kotonoha.llm import history, smallworld
 
@@ -51,3 +52,18 @@ def test_search_walks_through_far_texts():
     assert smallworld.distances(graph.sketch[57:58], graph.sketch[:1])[0, 0] > 52
     q, t = graph._block(graph.sketch[57:58], np.array([[0, -1]]))
     assert (0, 57) in zip(q.tolist(), t.tolist())
+
+
+def test_shard_of_thousands_equals_brute_force_on_whole_sets():
+    forms = crowded_texts(2500, 250, 3, 9)
+    ids = [f"s{i:05d}" for i in range(len(forms))]
+    rows = list(history._build(0.6)(iter([pd.DataFrame({"id": ids, "form": forms})])))
+    pairs = {(a, b) for r in rows[1:] for a, b in zip(r["a"], r["b"])}
+    grams, offsets = history._grams(forms)
+    names, place = np.unique(grams, return_inverse=True)
+    has = np.zeros((len(forms), len(names)), dtype=np.float32)
+    has[np.repeat(np.arange(len(forms)), np.diff(offsets)), place] = 1
+    both, size = has @ has.T, np.diff(offsets)
+    a, b = np.nonzero(np.triu(both / (size[:, None] + size[None, :] - both) >= 0.6, 1))
+    want = {(ids[x], ids[y]) for x, y in zip(a.tolist(), b.tolist())}
+    assert pairs == want and len(want) > 10_000
