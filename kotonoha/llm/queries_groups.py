@@ -29,14 +29,13 @@ def _ties(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _components(spark: SparkSession, sf: str, assign: bool) -> splits.ComponentTable:
-    """Batches are the quarters in which rows were loaded; for splits, the quarters before the last are the initial load."""
+    """Batches are the quarters in which rows were loaded."""
     stage = Stage(spark, "splits")
     ties = stage.write(_ties(spark, sf), "all", "quarter")
     found = splits.ComponentTable(spark, stage)
     quarters = sorted((r["quarter"] or 0 for r in ties.select("quarter").distinct().collect()))  # one row per quarter
-    batches = [quarters[:-1], quarters[-1:]] if assign and len(quarters) > 1 else [[q] for q in quarters]
-    for own in batches or [[0]]:
-        found.add(ties.where(F.coalesce("quarter", F.lit(0)).isin(*own)).drop("quarter"), assign)
+    for own in quarters or [0]:
+        found.add(ties.where(F.coalesce("quarter", F.lit(0)) == own).drop("quarter"), assign)
     return found
 
 
