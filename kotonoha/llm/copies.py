@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.forms import bare_batch
+from .forms import bare_batch
 from ..plans.staging import Stage
 
 KEY = T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())])

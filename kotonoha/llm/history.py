@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.forms import bare_batch, codes_of
+from .forms import bare_batch, codes_of
 from ..plans.staging import Stage, filesystem
 from . import smallworld
 from .copies import _hash

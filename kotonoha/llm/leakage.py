@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.forms import bare_batch, bare_codes, codes_of
+from .forms import bare_batch, bare_codes, codes_of
 from . import fmindex
 
 MIN_RUN = 50

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-from ..functions.forms import codes_of, fold_map
+from .forms import codes_of, fold_map
 
 KINDS = ("prose", "list", "table", "junk")
 PROSE, LIST, TABLE, JUNK = range(4)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.forms import translate_pairs
 from ..sources.tables import table
 from ..plans.staging import Stage
 from . import copies, history, lookalike
@@ -89,9 +89,30 @@ def _sql(x: str) -> str:
     return x.replace("'", "''")
 
 
+# The SQL states the form on its own, by character classes, ranges and lists, and shares no mapping with the operators.
+# Letters of one shape, column by column.
+_LATIN = "ABEHIKMNOPTXYZCSJaceopxyisjhv"
+_GREEK = "ΑΒΕΗΙΚΜΝΟΡΤΧΥΖϹ\0Ϳαϲ\0ορ\0\0\0\0ϳ\0ν"
+_CYRILLIC = "АВЕНІКМ\0ОРТХУ\0СЅЈасеорхуіѕјһѵ"
+_KANA, _KANJI = "カエニロタトハムノへべぺ", "力工二口夕卜八厶丿ヘベペ"
+_MORE_FROM, _MORE_TO = "ӀҮԁԛԝӏԌԚԜГПФѡ", "IYdqwlGQWΓΠΦω"
+_NARROW = "｡｢｣､･ｦｧｨｩｪｫｬｭｮｯｰｱｲｳｴｵｶｷｸｹｺｻｼｽｾｿﾀﾁﾂﾃﾄﾅﾆﾇﾈﾉﾊﾋﾌﾍﾎﾏﾐﾑﾒﾓﾔﾕﾖﾗﾘﾙﾚﾛﾜﾝﾞﾟ"
+_WIDE = "。「」、・ヲァィゥェォャュョッーアイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワン゙゚"
+
+
+def _mapping_sql() -> tuple[str, str]:
+    pairs = dict(zip(_NARROW, _WIDE)) | {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)} | {"゛": "゙", "゜": "゚"}
+    pairs |= {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0x2E80, 0x2FE0) if unicodedata.name(chr(c), "").startswith(("CJK RADICAL", "KANGXI RADICAL"))}
+    pairs |= dict(zip("￠￡￢￣￤￥￦￨￩￪￫￬￭￮", "¢£¬¯¦¥₩│←↑→↓■○"))
+    alike = {c: a for own in (_GREEK, _CYRILLIC) for a, c in zip(_LATIN, own) if c != "\0"} | dict(zip(_KANJI, _KANA)) | dict(zip(_MORE_FROM, _MORE_TO))
+    pairs = {a: alike.get(b, b) for a, b in pairs.items() if a != b} | alike
+    return "".join(pairs), "".join(pairs.values())
+
+
 def looks_same_oracle(column: str) -> str:
-    a, b = map(_sql, translate_pairs())
-    return f"nfc_normalize(translate({column}, '{a}', '{b}'))"
+    a, b = map(_sql, _mapping_sql())
+    unseen = r"[\p{Cf}\x{034F}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{3164}\x{FFA0}\x{FE00}-\x{FE0F}\x{E0100}-\x{E01EF}\x{01}-\x{08}\x{0E}-\x{1B}\x{7F}-\x{84}\x{86}-\x{9F}]"
+    return f"nfc_normalize(translate(regexp_replace(regexp_replace(nfc_normalize({column}), '{unseen}', '', 'g'), '\\p{{Zs}}', ' ', 'g'), '{a}', '{b}'))"
 
 
 _FIELDS_SQL = """
@@ -124,7 +145,7 @@ def oracle_sql() -> dict[str, str]:
         "p3_groups": f"{groups} select table_name, first_id, n_copies from g",
         "p1_found": f"""{forms}, g as (select field_name, form, arg_min(txt, id) first_txt, min(id) first_id from k group by field_name, form)
             select k.field_name, g.first_id, k.id other_id from k join g using (field_name, form) where k.txt <> g.first_txt""",
-        "p1_canonical": f"""{forms}, m as (select *, translate(txt, '{_sql(translate_pairs()[0])}', '{_sql(translate_pairs()[1])}') <> txt changed from k),
+        "p1_canonical": f"""{forms}, m as (select *, nfc_normalize(txt) <> form changed from k),
             g as (select field_name, form, coalesce(min(txt) filter (where not changed), min(txt)) canonical_text from m group by field_name, form)
             select k.field_name, k.id, g.canonical_text from k join g using (field_name, form)""",
     }

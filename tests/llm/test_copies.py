@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from kotonoha.functions.forms import bare_form, looks_same
+from kotonoha.llm.forms import bare_form, looks_same
 from kotonoha.llm import copies, history, lookalike, smallworld
 from kotonoha.plans.staging import Stage
 

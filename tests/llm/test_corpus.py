@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from kotonoha.functions.forms import bare_form
+from kotonoha.llm.forms import bare_form
 from kotonoha.llm import fmindex, leakage, linemodel, quality
 
 
