@@ -1,22 +1,22 @@
 """Duplicates hidden by formatting differences, counted by an incremental ledger.
 
 A record's canonical key is the 128-bit fingerprint of its bare form (or bare forms, for records with several
-fields). The ledger keeps two bucketed tables in the shared folder:
+fields). The ledger keeps two bucketed tables in the shared folder (see ``buckets``):
 
 * ``records``, bucketed by record id: which records have been counted, with their key. A record delivered again is
   recognised here and not counted twice;
 * ``keys``, bucketed by key: number of records and the earliest representative of each key.
 
-A batch is reduced to one row per new record, aggregated by key (map-side first, so a key that holds a third of all
-rows shuffles one row per task), full-outer-joined with the matching buckets of ``keys`` and written as the next
-version. Bucketing leaves the history unshuffled: only the batch moves.
+A batch is reduced to one row per new record (an anti-join with the matching buckets of ``records``, to which they are appended),
+aggregated by key (map-side first, so a key that holds a third of all rows shuffles one row per task) and full-outer-joined with the
+matching buckets of ``keys``, which alone are rewritten. History isn't shuffled, and buckets without a row of the batch are neither read nor written.
 
 The representative is the member of the earliest batch, and within it the smallest id; ``smallest_id`` is the
 smallest id over all batches.
 
 Cases: a null text has no key and is not counted; texts without any letter share the empty form and are one group;
 repeated rows and redelivered records count once; an empty batch changes nothing; very long texts are hashed whole;
-ids that are null are ignored; other columns are ignored. The join of members back to groups splits hot keys by AQE.
+ids that are null are ignored; other columns are ignored. Members are joined back to groups without the bucketing, so that AQE can split hot keys.
 """
 
 from __future__ import annotations
@@ -24,15 +24,15 @@ from __future__ import annotations
 import hashlib
 import json
 import struct
-import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .forms import bare_batch
 from ..plans.staging import Stage
+from .buckets import BucketedTable
+from .forms import bare_batch
 
 KEY = T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())])
 
@@ -84,64 +84,48 @@ class CopyLedger:
     """Counts copies batch by batch; see the module for the layout."""
 
     def __init__(self, spark: SparkSession, stage: Stage, buckets: int | None = None):
-        self.spark, self.stage = spark, stage
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self._records: list[str] = []
-        self._keys: str | None = None
-
-    def _save(self, df: DataFrame, columns: tuple[str, ...]) -> str:
-        name = f"ledger_{uuid.uuid4().hex}"
-        spread = df.repartition(self.buckets, *columns)
-        spread.write.bucketBy(self.buckets, *columns).option("path", self.stage.path(name)).saveAsTable(name)
-        return name
-
-    def records(self) -> DataFrame | None:
+        self.spark, self.stage, self.batches = spark, stage, 0
+        self._records = BucketedTable(stage, "space string, id string, k1 bigint, k2 bigint, batch int", ("space", "id"), buckets)
+        self._keys = BucketedTable(stage, "space string, k1 bigint, k2 bigint, copies bigint, first_id string, smallest_id string", ("space", "k1", "k2"), buckets)
+
+    def records(self) -> DataFrame:
         """(space, id, k1, k2) of every record counted so far."""
-        out = None
-        for name in self._records:
-            out = self.spark.table(name) if out is None else out.unionByName(self.spark.table(name))
-        return out
+        return self._records.unbucketed().drop("batch")
 
-    def keys(self) -> DataFrame | None:
+    def keys(self) -> DataFrame:
         """(space, k1, k2, copies, first_id, smallest_id) of every key."""
-        return None if self._keys is None else self.spark.table(self._keys)
+        return self._keys.unbucketed()
 
     def add(self, batch: DataFrame) -> None:
-        """Count a batch of (space, id, k1, k2), where ``space`` keeps tables apart."""
-        fresh = batch.where(F.col("id").isNotNull() & F.col("k1").isNotNull()).groupBy("space", "id").agg(F.min(F.struct("k1", "k2")).alias("k"))
-        fresh = fresh.select("space", "id", "k.k1", "k.k2")
-        for name in self._records:
-            fresh = fresh.join(self.spark.table(name).select("space", "id"), ["space", "id"], "left_anti")
-        name = self._save(fresh, ("space", "id"))
-        counted = self.spark.table(name).groupBy("space", "k1", "k2").agg(F.count("*").alias("n"), F.min("id").alias("low"))
+        """Count a batch of (space, id, k1, k2), where ``space`` keeps tables apart. The batch is read three times: give a written table."""
+        rows = batch.where(F.col("space").isNotNull() & F.col("id").isNotNull() & F.col("k1").isNotNull())
+        parts = self._records.parts_of(rows)
+        self.batches += 1
+        fresh = rows.groupBy("space", "id").agg(F.min(F.struct("k1", "k2")).alias("k")).select("space", "id", "k.k1", "k.k2", F.lit(self.batches).alias("batch"))
+        known = not self._records.empty
+        if known:
+            fresh = fresh.join(self._records.matching(parts).select("space", "id"), ["space", "id"], "left_anti")
+        self._records.append(fresh, placed=known)
         on = ["space", "k1", "k2"]
-        if self._keys is None:
-            merged = counted.select(*on, F.col("n").alias("copies"), F.col("low").alias("first_id"), F.col("low").alias("smallest_id"))
-        else:
-            merged = self.spark.table(self._keys).join(counted, on, "full_outer").select(
+        new = self._records.matching(parts).where(F.col("batch") == self.batches)
+        counted = new.groupBy(*on).agg(F.count("*").alias("n"), F.min("id").alias("low"))
+        if self._keys.empty:
+            self._keys.append(counted.select(*on, F.col("n").alias("copies"), F.col("low").alias("first_id"), F.col("low").alias("smallest_id")))
+            return
+        counted = self._keys.matching(self._keys.parts_of(new)).join(counted, on, "full_outer")
+        self._keys.replace(
+            counted.select(
                 *on,
                 (F.coalesce("copies", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("copies"),
                 F.coalesce("first_id", "low").alias("first_id"),
                 F.least("smallest_id", "low").alias("smallest_id"),
-            )
-        old, self._keys = self._keys, self._save(merged, ("space", "k1", "k2"))
-        self._records.append(name)
-        if old:
-            self._forget(old)
-
-    def _forget(self, name: str) -> None:
-        where = self.spark.sql(f"describe formatted {name}").where("col_name = 'Location'").first()
-        self.spark.sql(f"drop table if exists {name}")
-        if where:
-            self.stage.remove(where["data_type"])
+            ),
+            placed=True,
+        )
 
     def compact(self) -> None:
-        """Bring the record tables of all batches into one."""
-        if len(self._records) > 1:
-            old, merged = self._records, self._save(self.records(), ("space", "id"))
-            self._records = [merged]
-            for name in old:
-                self._forget(name)
+        """Bring the files that the batches have added to each bucket of the records into one."""
+        self._records.compact()
 
 
 def copies_of(ledger: CopyLedger) -> DataFrame:

@@ -51,12 +51,8 @@ def _ledger(spark: SparkSession, sf: str) -> copies.CopyLedger:
     staged = stage.write(keyed, "keyed", "batch")
     ledger = copies.CopyLedger(spark, stage)
     numbers = sorted(r["batch"] for r in staged.select("batch").distinct().collect())  # one row per batch ever delivered
-    for i, number in enumerate(numbers):
+    for number in numbers:
         ledger.add(staged.where(F.col("batch") == number).drop("batch"))
-        if i % 4 == 3:
-            ledger.compact()
-    if not numbers:
-        ledger.add(staged.drop("batch"))
     return ledger
 
 
