@@ -1,7 +1,7 @@
 """Cutting lineage through tables written to the folder all executors share.
 
-The folder is the one the cluster names in ``spark.checkpoint.dir``; only where none is set, as in tests,
-a local one is made. A written table survives the loss of executors, is compressed and can be read by column.
+The folder is the one the cluster names in ``spark.checkpoint.dir``; only in local mode, as in tests, a temporary
+one is made where none is set, anywhere else that is an error. A written table survives the loss of executors, is compressed and can be read by column.
 """
 
 from __future__ import annotations
@@ -12,13 +12,16 @@ import tempfile
 import uuid
 
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this application."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         known = "file://" + tempfile.mkdtemp(prefix="kotonoha-")
         spark.sparkContext.setCheckpointDir(known)
     return known.rstrip("/")
@@ -49,6 +52,13 @@ class Stage:
         (df.write.partitionBy(by) if by else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def write_counted(self, df: DataFrame, name: str, when: Column | None = None) -> tuple[DataFrame, int]:
+        """The written table and its number of rows (of those for which ``when`` holds), counted while it is written."""
+        seen = Observation()
+        counted = F.count(F.lit(1)) if when is None else F.count_if(when)
+        table = self.write(df.observe(seen, counted.alias("n")), name)
+        return table, seen.get["n"]
+
     def remove(self, path: str) -> None:
         """Delete a folder; goes past the session, which may have ended already."""
         try:
