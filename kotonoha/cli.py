@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as tx
+from .operators import regression
 from .operators.history import latest, snapshot_diff
 from .operators.references import find_orphans
-from .sources import audio, manifests
+from .sources import audio, manifests, records
 
 
 def _write(df: DataFrame, out: str) -> None:
@@ -52,6 +53,21 @@ def orphans(spark: SparkSession, a: argparse.Namespace) -> None:
     _write(found, a.output)
 
 
+def validate(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Read a manifest against its contract and write it sorted by key; any fault ends the run with its place."""
+    records.write_records(records.read_records(spark, a.input, a.kind), a.output, a.kind)
+
+
+def capture_baseline(spark: SparkSession, a: argparse.Namespace) -> None:
+    names = set(records.CONTRACTS["baseline"].schema.names) & set(records.CONTRACTS["evidence"].schema.names)
+    provenance = [c for c in records.CONTRACTS["evidence"].schema.names if c in names and c not in ("schema_version", "logical_case_id", "source_text", "expected_references", "risk_evidence", "audio_sha256")]
+    records.write_records(regression.capture_baseline(records.read_records(spark, a.input, "evidence"), provenance), a.output, "baseline")
+
+
+def schema(spark: SparkSession, a: argparse.Namespace) -> None:
+    print(records.json_schema(a.kind))
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="kotonoha", description=__doc__)
     commands = top.add_subparsers(required=True)
@@ -69,6 +85,10 @@ def parser() -> argparse.ArgumentParser:
     command(inspect_audio, *io)
     command(diff, ("--before", one), ("--after", one), ("--output", one), ("--keys", many), ("--material", many), ("--other", {"nargs": "*", "default": []}))
     command(keep_latest, *io, ("--keys", many), ("--order", many))
+    kind = ("--kind", {"required": True, "choices": sorted(records.CONTRACTS)})
+    command(validate, *io, kind)
+    command(capture_baseline, *io)
+    command(schema, kind)
     command(orphans, *io, ("--targets", one), ("--columns", many), ("--keys", many), ("--keep", many), ("--match", {"default": "simple", "choices": ["simple", "partial", "full"]}))
     return top
 

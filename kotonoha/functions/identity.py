@@ -37,3 +37,29 @@ def seed(base: int, key: Column) -> Column:
 
 def is_sha256(value: Column) -> Column:
     return value.rlike("^[0-9a-f]{64}$")
+
+
+# What the id of each kind of record is made of.
+IDENTITIES = {
+    "run": ("sample_id", "backend", "model_name", "speaker", "config_fingerprint_sha256", "seed", "synthesis_text_strategy", "synthesis_text"),
+    "qa": (
+        "run_id", "audio_sha256", "policy_fingerprint_sha256", "asr_model_identity", "asr_config_fingerprint_sha256", "reading_provider_fingerprint_sha256", "expected_reading_kana", "expected_sample_rate_hz",
+        "expected_channels", "expected_duration_sec", "reading_canonicalizer_version",
+    ),
+    "reference": ("sample_id", "scope", "surface", "expected_reading", "expectation_source", "confirmation_status", "provenance_reference"),
+    "risk": ("run_id", "surface", "risk_type", "reason", "expected_reference_id", "alignment_status"),
+    "regression": ("logical_case_id", "baseline_id", "current_evidence_id", "policy_fingerprint", "changes"),
+    "issue": ("source", "code", "evidence_reference_id", "summary"),
+    "queue_item": ("review_context_fingerprint_sha256", "priorities"),
+    "gate": (
+        "queue_item_id", "review_id", "review_freshness", "decision", "reason_codes", "hard_blocker_codes", "resolved_issue_ids", "unresolved_issue_ids", "release_policy_fingerprint_sha256",
+    ),
+}
+
+
+def record_id(kind: str, **fields: Column) -> Column:
+    """The id of a record of a kind in ``IDENTITIES``; each part must be given, a null part counts as null."""
+    names = IDENTITIES[kind]
+    if set(fields) != set(names):
+        raise ValueError(f"{kind} needs {', '.join(names)}")
+    return content_id(fields)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 #: Whitespace as Python's ``str.isspace`` has it; Java's own class differs on four controls.
 SPACE = r"[\s\x1c-\x1f]"
+# The blocks that count as Japanese, as kanji, as Latin and as emoji.
 JAPANESE = r"[\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}]"
 KANJI = r"[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}]+"
 LATIN = r"[A-Za-zＡ-Ｚａ-ｚ]+"
@@ -83,34 +84,33 @@ def fold_width(text: Column) -> Column:
 
 
 def without_thousands(text: Column) -> Column:
-    """Without the commas of complete thousands groups."""
-    group = r"(?<![0-9,.])[0-9]{1,3}(?:,[0-9]{3})+(?![0-9,.])"
-    # A comma goes if it stands inside a complete group: both sides are checked by bounded look-behind.
-    return F.array_join(
-        F.zip_with(
-            F.split(text, group, -1),
-            F.regexp_extract_all(text, F.lit(f"({group})"), F.lit(1)),
-            lambda plain, number: F.concat(F.coalesce(plain, F.lit("")), F.replace(F.coalesce(number, F.lit("")), F.lit(","), F.lit(""))),
-        ),
-        "",
-    )
+    """Without the commas of complete thousands groups: of each run of digits, commas and points that as a whole is one to three
+    digits and then groups of three."""
+    run = "[0-9.,]+"
+    whole = lambda x: x.rlike("^[0-9]{1,3}(,[0-9]{3})+$")
+    runs = F.transform(F.regexp_extract_all(text, F.lit(f"({run})"), F.lit(1)), lambda x: F.when(whole(x), F.replace(x, F.lit(","), F.lit(""))).otherwise(x))
+    return F.array_join(F.zip_with(F.split(text, run, -1), runs, lambda plain, number: F.concat(plain, F.coalesce(number, F.lit("")))), "")
 
 
 def latin_hyphen(text: Column) -> Column:
-    """A long-vowel mark between Latin letters or digits is a hyphen."""
-    return F.regexp_replace(text, "(?<=[A-Za-z0-9])ー(?=[A-Za-z0-9])", "-")
+    """A long-vowel mark between Latin letters or digits is a hyphen: looked at between the pieces that the marks part."""
+    pieces = F.split(text, "ー", -1)
+    n = F.size(pieces)
+    between = lambda a, b: a.rlike("[A-Za-z0-9]$") & b.rlike("^[A-Za-z0-9]")
+    joined = F.zip_with(F.slice(pieces, F.lit(1), n - 1), F.slice(pieces, F.lit(2), n - 1), lambda a, b: F.concat(a, F.when(between(a, b), F.lit("-")).otherwise(F.lit("ー"))))
+    return F.concat(F.array_join(joined, ""), F.element_at(pieces, -1))
 
 
 def collapse_space(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, rf"(?U){SPACE}+", " "), "^ | $", "")
 
 
-#: Steps of the normalisation, in order, with the names under which they are logged.
+# The names under which the steps of the normalisation are logged, in order.
 NORMALIZATION = (
-    ("width", fold_width),
-    ("thousands_separator", without_thousands),
-    ("latin_hyphen", latin_hyphen),
-    ("whitespace", collapse_space),
+    ("jaconv_unicode_width_normalization", fold_width),
+    ("numeric_thousands_separator_removed", without_thousands),
+    ("latin_hyphen_normalization", latin_hyphen),
+    ("whitespace_normalization", collapse_space),
 )
 
 
@@ -153,12 +153,14 @@ def occurrences(text: Column, surface: str) -> Column:
 
 
 def spans(text: Column, surface: str) -> Column:
-    """array<struct<start, end>>: half-open places of a surface, in characters."""
-    parts = F.split(text, re.escape(surface), -1)
+    """array<struct<start, end>>: half-open places of a surface, in characters, found in one pass over the pieces between them."""
     width = len(surface)
-    ends = F.transform(
-        F.slice(F.sequence(F.lit(1), F.size(parts)), 1, F.size(parts) - 1),
-        lambda k: F.aggregate(F.slice(parts, F.lit(1), k), F.lit(0), lambda sum_, x: sum_ + F.length(x)) + (k - 1) * width,
+    none = F.array().cast("array<int>")
+    ends = F.aggregate(
+        F.split(text, re.escape(surface), -1),
+        F.struct(F.lit(0).alias("at"), none.alias("found")),
+        lambda state, piece: F.struct((state["at"] + F.length(piece) + width).alias("at"), F.array_append(state["found"], state["at"] + F.length(piece)).alias("found")),
+        lambda state: F.slice(state["found"], F.lit(1), F.size(state["found"]) - 1),
     )
     return F.transform(ends, lambda start: F.struct(start.alias("start"), (start + width).alias("end")))
 
@@ -178,7 +180,7 @@ def kanji_runs(text: Column) -> Column:
 def unexpected_in_reading(text: Column) -> Column:
     """Characters that are neither kana nor Latin, digits, kanji, whitespace or the punctuation a reading may hold."""
     allowed = "".join(rf"\x{{{ord(c):X}}}" for c in READING_PUNCTUATION + READING_SYMBOLS)
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?U)([^\s\x1c-\x1f\x{{3040}}-\x{{30FF}}A-Za-zＡ-Ｚａ-ｚ\p{{Nd}}{KANJI[1:-2]}{allowed}])"), F.lit(1)))
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?U)([^\s\x1c-\x1f\x{{3040}}-\x{{30FF}}\x{{31F0}}-\x{{31FF}}A-Za-zＡ-Ｚａ-ｚ\p{{Nd}}{KANJI[1:-2]}{allowed}])"), F.lit(1)))
 
 
 def emoji(text: Column) -> Column:

@@ -14,6 +14,14 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFram
     return df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("__row")).select("__row.*")
 
 
+def as_of(df: DataFrame, keys: Sequence[str], loaded: Column, deleted: Column, moment: Column) -> DataFrame:
+    """The rows known at a moment: of each key the one loaded last by then (of equal times the one deleted last or not at all), unless it was
+    withdrawn by then."""
+    known = df.withColumn("__at", loaded).withColumn("__gone", deleted).withColumn("__moment", moment).where(F.col("__at") <= F.col("__moment"))
+    last = latest(known.withColumn("__left", F.coalesce("__gone", F.lit(9_000_000_000_000_000_000))), keys, ["__at", "__left"])
+    return last.where(F.col("__gone").isNull() | (F.col("__gone") > F.col("__moment"))).drop("__at", "__gone", "__moment", "__left")
+
+
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``existing`` with the rows of ``new`` in place of those of the same key."""
     return existing.join(new.select(*keys), list(keys), "left_anti").unionByName(new)

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from ..functions import sets, text as tx
 from ..operators import history as hx
-from ..operators import integrity, issues
-from ..sources import audio, contracts, manifests
+from ..operators import chains, integrity, issues, regression
+from ..sources import audio, manifests, records
 from ..sources.tables import table
 
 LINE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("raw_text", "normalized_text", "reading_kana")])
@@ -30,14 +30,15 @@ def _checked(spark: SparkSession, sf: str) -> DataFrame:
     rows = _speech(spark, sf).select("*", F.length(tx.compact(F.col("t"))).alias("n_chars"), tx.density(F.col("t"), F.col("sec")).alias("density"), tx.japanese_ratio(F.col("t")).alias("ratio"), tx.repeated_unit(F.col("t")).alias("unit"))
     groups = hx.duplicate_groups(rows.where("n_chars > 0"), "t", "sample_id").select("t", F.col("n").alias("n_same"))
     rows = rows.join(groups, "t", "left")
+    # Codes of the data checks.
     rules = [
-        issues.Rule("empty_text", "critical", F.col("n_chars") == 0),
+        issues.Rule("empty_transcript", "critical", F.col("n_chars") == 0),
         issues.Rule("duration_unavailable", "warning", F.col("sec").isNull()),
         issues.Rule("duration_too_short", "warning", F.col("sec") < 0.5),
         issues.Rule("duration_too_long", "warning", F.col("sec") > 30.0),
-        issues.Rule("density_anomaly", "warning", (F.col("n_chars") > 0) & ((F.col("density") < 1.0) | (F.col("density") > 20.0)), {"density": F.round("density", 3)}),
-        issues.Rule("low_script_ratio", "warning", F.col("ratio") < 0.3),
-        issues.Rule("repetition", "warning", F.col("unit") != ""),
+        issues.Rule("transcript_density_anomaly", "warning", (F.col("n_chars") > 0) & ((F.col("density") < 1.0) | (F.col("density") > 20.0)), {"density": F.round("density", 3)}),
+        issues.Rule("low_japanese_script_ratio", "warning", F.col("ratio") < 0.3),
+        issues.Rule("excessive_text_repetition", "warning", F.col("unit") != ""),
         issues.Rule("duplicate_text", "warning", F.col("n_same") > 1, {"n": F.col("n_same")}),
     ]
     return rows.withColumn("issues", issues.issues(rules)).withColumn("decision", issues.decision(F.col("issues")))
@@ -64,8 +65,10 @@ def passed_speech(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def duplicate_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts that several speech records share."""
-    return hx.duplicate_groups(_speech(spark, sf).where("t <> ''"), "t", "sample_id").select("t", "n", "first_id")
+    """Normalised texts that several text records share, each record at its latest delivery."""
+    rows = table(spark, sf, "tts_text_samples").select("sample_id", "loaded_at", F.coalesce("text.normalized_text", F.lit("")).alias("t"))
+    rows = hx.latest(rows, ["sample_id"], ["loaded_at", "t"])
+    return hx.duplicate_groups(rows.where("t <> ''"), "t", "sample_id").select("t", "n", "first_id")
 
 
 def latest_review(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,36 +86,54 @@ def review_reuse(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("qa_id", "reused", F.coalesce("asr_transcript", F.lit("")).alias("transcript"))
 
 
-def upserted_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders of odd keys replaced by a later version of them."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    new = orders.where("o_orderkey % 2 = 1").withColumn("o_totalprice", F.round(F.col("o_totalprice") * 2, 2))
-    return hx.upsert(orders, new, ["o_orderkey"]).select("o_orderkey", "o_custkey", F.round("o_totalprice", 2).alias("o_totalprice"))
+def upserted_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews as first delivered, replaced by what came later under the same id."""
+    rows = table(spark, sf, "human_review_record").select("review_id", "loaded_at", "decision", "reviewer_id").distinct()
+    first = rows.groupBy("review_id").agg(F.min("loaded_at").alias("first"))
+    joined = rows.join(first, "review_id")
+    later = hx.latest(joined.where("loaded_at > first").drop("first"), ["review_id"], ["loaded_at", "decision", "reviewer_id"])
+    early = hx.latest(joined.where("loaded_at = first").drop("first"), ["review_id"], ["decision", "reviewer_id"])
+    return hx.upsert(early, later, ["review_id"]).select("review_id", "decision", "reviewer_id", F.unix_micros("loaded_at").alias("loaded_us"))
 
 
 def evidence_chain(spark: SparkSession, sf: str) -> DataFrame:
-    """Evidence with its QA row and regression: what was found along the chain and whether the audio agrees."""
-    evidence = table(spark, sf, "pronunciation_evidence").select("evidence_id", "stage9_qa_id", "audio_sha256", "artifact_run_id").distinct()
-    qa = table(spark, sf, "generated_audio_qa").groupBy("qa_id").agg(F.max("observed_audio_sha256").alias("heard"), F.max("run_id").alias("run_id"))
+    """Evidence with its QA row and regression: which of the assertions along the chain fail, and material changes."""
+    evidence = table(spark, sf, "pronunciation_evidence").select("evidence_id", "stage9_qa_id", "sample_id", "audio_sha256", "artifact_run_id", "source_text").distinct()
+    qa = table(spark, sf, "generated_audio_qa").groupBy("qa_id").agg(F.max(F.struct("loaded_at", "status", "decision", "sample_id", "run_id", "observed_audio_sha256", "expected_audio_sha256")).alias("qa"))
     regression = table(spark, sf, "pronunciation_regression").where("current_evidence_id is not null").groupBy("current_evidence_id").agg(F.count_if(F.exists("changes", lambda c: c["material_pronunciation_change"])).alias("n_material"))
     joined = hx.chain(evidence, (qa, "stage9_qa_id", "qa_id", "has_qa"), (regression, "evidence_id", "current_evidence_id", "has_regression"))
-    return joined.select("evidence_id", "has_qa", "has_regression", integrity.all_equal(F.col("audio_sha256"), F.col("heard")).alias("same_audio"), F.coalesce(F.col("artifact_run_id") == F.col("run_id"), F.lit(False)).alias("same_run"), F.coalesce("n_material", F.lit(0)).alias("n_material"))
+    conditions = {
+        "qa_completed": F.col("qa.status") == "completed",
+        "qa_passed": F.col("qa.decision") == "pass",
+        **chains.review_conditions({"one_sample": ("sample_id", "qa.sample_id"), "one_run": ("artifact_run_id", "qa.run_id"), "one_audio": ("audio_sha256", "qa.observed_audio_sha256", "qa.expected_audio_sha256")}),
+    }
+    return joined.select("evidence_id", "has_qa", "has_regression", F.array_join(chains.problems(conditions), ",").alias("problems"), F.coalesce("n_material", F.lit(0)).alias("n_material"))
+
+
+# Provenance of evidence as delivered here, and the kind of change each field stands for.
+DELIVERED_PROVENANCE = {"tts_backend": regression.PROVENANCE, "tts_model_name": regression.PROVENANCE, "speaker": regression.PROVENANCE, "policy_fingerprint_sha256": regression.PROVENANCE, "audio_sha256": regression.ARTIFACT}
+
+
+def _regressions(spark: SparkSession, sf: str) -> DataFrame:
+    """Samples' evidence halfway through the time of delivery compared with that at its end."""
+    rows = table(spark, sf, "pronunciation_evidence").select("evidence_id", "sample_id", "source_text", "decision", "review_reasons", *DELIVERED_PROVENANCE, F.unix_micros("loaded_at").alias("at"), F.unix_micros("deleted_at").alias("gone"))
+    times = rows.agg(F.expr("(min(at) + max(at)) div 2").alias("mid"), F.max("at").alias("end"))  # one row
+
+    def cases(moment: str) -> DataFrame:
+        known = hx.as_of(rows.join(F.broadcast(times)), ["evidence_id"], F.col("at"), F.col("gone"), F.col(moment))
+        return hx.latest(known, ["sample_id"], ["at", "evidence_id"]).withColumn("reasons", F.array_join("review_reasons", ","))
+
+    return regression.compare_cases(cases("mid"), cases("end"), "sample_id", {"source_text": regression.TEXT, "reasons": regression.RISKS}, DELIVERED_PROVENANCE)
 
 
 def regression_diff(spark: SparkSession, sf: str) -> DataFrame:
-    """Full outer difference of two snapshots of parts: added, removed, changed, and whether it matters."""
-    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    before = part.where("p_partkey % 7 <> 0")
-    after = part.where("p_partkey % 5 <> 0").withColumn("p_size", F.when(F.col("p_partkey") % 3 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))).withColumn("p_brand", F.when(F.col("p_partkey") % 11 == 0, F.lit(None)).otherwise(F.col("p_brand")))
-    out = hx.snapshot_diff(before, after, ["p_partkey"], ["p_size"], ["p_name", "p_brand"])
-    return out.select("p_partkey", "status", F.array_join("changed", ",").alias("changed"), "material")
+    """Each sample whose evidence differs between two moments, with the kinds and fields of its changes and the decision."""
+    return _regressions(spark, sf).where(F.size("changes") > 0).select("sample_id", F.array_join(F.transform("changes", lambda c: F.concat_ws(":", c["kind"], c["field"])), ",").alias("changes"), "decision")
 
 
 def regression_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """Kinds of change over all regressions: rows, those that matter, and rows with immaterial changes only."""
-    rows = table(spark, sf, "pronunciation_regression").select("regression_id", "changes").distinct()
-    material = F.exists("changes", lambda c: c["material_pronunciation_change"])
-    return rows.agg(F.count("*").alias("total"), F.count_if(material).alias("n_material"), F.count_if((F.size("changes") > 0) & ~material).alias("n_immaterial_only"))
+    """One row over all samples: cases on either side, compared, and by decision."""
+    return regression.summary(_regressions(spark, sf))
 
 
 def gate_sets(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,16 +157,16 @@ def manifest_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Numbered lines of every document; a last line break ends the last line."""
-    rows = table(spark, sf, "documents").where("text is not null and text <> ''")
-    cut = F.split(F.regexp_replace("text", r"(?:\r\n|\n|\r)\z", ""), r"\r\n|\n|\r", -1)
-    return rows.select("doc_id", F.posexplode(cut).alias("at", "line")).select("doc_id", (F.col("at") + 1).alias("line_no"), F.length("line").alias("n"))
+    rows = table(spark, sf, "documents").where("text is not null")
+    return rows.select("doc_id", F.posexplode(manifests.split_lines(F.col("text"))).alias("at", "line")).select("doc_id", (F.col("at") + 1).alias("line_no"), F.length("line").alias("n"))
 
 
 def bad_regions(spark: SparkSession, sf: str) -> DataFrame:
-    """Cuts that overlap the one before or end before they begin."""
-    rows = table(spark, sf, "sample_manifest").select("sample_id", F.col("lineage.parent_sample_id").alias("p"), F.col("lineage.segment_start_sec").alias("a"), F.col("lineage.segment_end_sec").alias("b"))
-    rows = rows.where("p is not null and a is not null and b is not null").groupBy("sample_id").agg(F.min(F.struct("p", "a", "b")).alias("x")).select("sample_id", "x.*")
-    return hx.bad_regions(rows, "p", "a", "b").select("sample_id", "p", F.array_join("problems", ",").alias("problems"))
+    """Cuts that overlap the one before, end before they begin, or reach past the end of their parent."""
+    rows = table(spark, sf, "sample_manifest").select("sample_id", F.col("lineage.parent_sample_id").alias("p"), F.col("lineage.segment_start_sec").alias("a"), F.col("lineage.segment_end_sec").alias("b"), F.col("audio.duration_sec").alias("sec"))
+    lengths = rows.groupBy(F.col("sample_id").alias("p")).agg(F.max("sec").alias("length"))
+    rows = rows.where("p is not null and a is not null and b is not null").groupBy("sample_id").agg(F.min(F.struct("p", "a", "b")).alias("x")).select("sample_id", "x.*").join(lengths, "p", "left")
+    return hx.bad_regions(rows, "p", "a", "b", F.col("length")).select("sample_id", "p", F.array_join("problems", ",").alias("problems"))
 
 
 def stage_steps(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,10 +178,10 @@ def stage_steps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def waveform_tails(spark: SparkSession, sf: str) -> DataFrame:
-    """Tail analysis of the vectors taken as samples at 100 Hz, and the frames that padding would add."""
+    """Tail analysis of the vectors taken as samples at 100 Hz."""
     rows = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("x"))
     rows = rows.select("vec_id", F.size("x").alias("n"), audio.tail_of(100)("x").alias("t"))
-    return rows.select("vec_id", F.round("t.peak", 6).alias("peak"), F.round("t.rms", 6).alias("rms"), "t.trailing_samples", F.lit(audio.padding_frames(24_000, 300)).cast("long").alias("padding"), F.col("n").cast("long").alias("n"))
+    return rows.select("vec_id", F.round("t.peak", 6).alias("peak"), F.round("t.rms", 6).alias("rms"), "t.trailing_samples", F.coalesce("t.last_audible", F.lit(-1)).alias("last_audible"), F.col("n").cast("long").alias("n"))
 
 
 def common_samples(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,10 +198,20 @@ def unique_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contract_violations(spark: SparkSession, sf: str) -> DataFrame:
-    """Speech records that break a check between their fields, with the names of the checks."""
-    rows = table(spark, sf, "sample_manifest")
-    bad = contracts.violations(contracts.speech_checks())
-    return rows.select("sample_id", F.unix_micros("loaded_at").alias("loaded_us"), F.array_join(bad, ",").alias("broken")).where("broken <> ''")
+    """Records that break a condition between their fields, by kind: speech records, reviews and gates."""
+    out = None
+    # Ids of these tables aren't all hashes; what the tables lack isn't checked.
+    for kind, name, key in (("speech_sample", "sample_manifest", "sample_id"), ("review", "human_review_record", "review_id"), ("gate", "release_gate_result", "gate_id"), ("qa_result", "generated_audio_qa", "qa_id")):
+        rows = table(spark, sf, name)
+        if kind == "qa_result":
+            for c in ("canonical_expected_reading", "canonical_observed_reading"):
+                rows = rows.withColumn(c, F.lit("").cast("string"))
+            # Evidence counts as given where a transcript is.
+            for c in ("asr_round_trip", "content_comparison"):
+                rows = rows.withColumn(c, F.nullif("asr_transcript", F.lit("")))
+        found = rows.select(F.lit(kind).alias("kind"), F.col(key).alias("id"), F.unix_micros("loaded_at").alias("loaded_us"), F.array_join(records.broken(kind), ",").alias("broken")).where("broken <> ''")
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def planned_segments(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,7 +224,7 @@ def planned_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
-        speech_checks, speech_summary, issue_histogram, passed_speech, duplicate_texts, latest_review, review_reuse, upserted_runs, evidence_chain, regression_diff,
+        speech_checks, speech_summary, issue_histogram, passed_speech, duplicate_texts, latest_review, review_reuse, upserted_reviews, evidence_chain, regression_diff,
         regression_summary, gate_sets, manifest_lines, document_lines, bad_regions, stage_steps, waveform_tails, common_samples, unique_batches, contract_violations, planned_segments,
     )
     return {f.__name__: f for f in own}
@@ -207,16 +238,25 @@ def oracle_sql() -> dict[str, str]:
         k as (select *, length(regexp_replace(t, '{_WS}+', '', 'g')) n, regexp_replace(t, '[{_WS[1:-1]}\pP]', '', 'g') b, regexp_replace(t, '[^\pL\pN]', '', 'g') e, count(*) over (partition by t) n_same from s where r = 1),
         m as (select *, case when sec > 0 then n / sec end density, length(regexp_replace(e, '[^{_JA}]', '', 'g')) / nullif(length(e), 0) ratio,
           len(list_filter(range(1, 21), lambda u: length(b) > 0 and length(b) % u = 0 and length(b) // u >= 3 and repeat(left(b, u), length(b) // u) = b)) > 0 repeats from k),
-        i as (select *, list_filter([case when n = 0 then 'empty_text' end, case when sec is null then 'duration_unavailable' end, case when sec < 0.5 then 'duration_too_short' end, case when sec > 30 then 'duration_too_long' end,
-          case when n > 0 and (density < 1 or density > 20) then 'density_anomaly' end, case when ratio < 0.3 then 'low_script_ratio' end, case when repeats then 'repetition' end, case when n > 0 and n_same > 1 then 'duplicate_text' end], lambda x: x is not null) codes from m),
-        c as (select *, case when list_contains(codes, 'empty_text') then 'drop' when len(codes) > 0 then 'review' else 'pass' end decision from i)"""
+        i as (select *, list_filter([case when n = 0 then 'empty_transcript' end, case when sec is null then 'duration_unavailable' end, case when sec < 0.5 then 'duration_too_short' end, case when sec > 30 then 'duration_too_long' end,
+          case when n > 0 and (density < 1 or density > 20) then 'transcript_density_anomaly' end, case when ratio < 0.3 then 'low_japanese_script_ratio' end, case when repeats then 'excessive_text_repetition' end, case when n > 0 and n_same > 1 then 'duplicate_text' end], lambda x: x is not null) codes from m),
+        c as (select *, case when list_contains(codes, 'empty_transcript') then 'drop' when len(codes) > 0 then 'review' else 'pass' end decision from i)"""
+    fields = {"source_text": "source_text_changed", "reasons": "risk_status_changed", "tts_backend": "provenance_config_changed", "tts_model_name": "provenance_config_changed", "speaker": "provenance_config_changed", "policy_fingerprint_sha256": "provenance_config_changed", "audio_sha256": "artifact_identity_changed"}
+    state = lambda t: f"""(select *, array_to_string(review_reasons, ',') reasons from (select *, row_number() over (partition by sample_id order by l desc, evidence_id desc) k from
+          (select *, row_number() over (partition by evidence_id order by l desc, coalesce(g, 9000000000000000000) desc) n from r where l <= {t}) where n = 1 and (g is null or g > {t})) where k = 1)"""
+    differ = ", ".join(f"case when not no_a and not no_b and a_{f} is distinct from b_{f} then '{k}:{f}' end" for f, k in fields.items())
+    cases = f"""with r as (select *, epoch_us(loaded_at) l, epoch_us(deleted_at) g, (min(epoch_us(loaded_at)) over () + max(epoch_us(loaded_at)) over ()) // 2 mid, max(epoch_us(loaded_at)) over () fin from pronunciation_evidence),
+          j as (select coalesce(a.sample_id, b.sample_id) sample_id, a.sample_id is null no_a, b.sample_id is null no_b, {", ".join(f"a.{f} a_{f}, b.{f} b_{f}" for f in fields)} from {state("mid")} a full join {state("fin")} b using (sample_id)),
+          x as (select *, concat_ws(',', case when no_a then 'baseline_case_missing:sample_id' end, case when no_b then 'current_case_missing:sample_id' end, {differ}) changes,
+            case when no_a or no_b or a_source_text is distinct from b_source_text or a_reasons is distinct from b_reasons then 'review' else 'no_regression_detected' end decision from j)"""
     summary = ", ".join(f"count(*) filter (where decision = '{k}') n_{k}, round(coalesce(sum(sec) filter (where decision = '{k}'), 0), 3) sec_{k}" for k in ("pass", "review", "drop"))
     return {
         "speech_checks": f"{checked} select sample_id, decision, array_to_string(codes, ',') codes, round(ratio, 6) ratio from c",
         "speech_summary": f"{checked} select count(*) total, {summary} from c",
         "issue_histogram": f"{checked} select code, count(*) n from (select unnest(codes) code from c) group by code",
         "passed_speech": f"{checked} select sample_id, cast(n as integer) n_chars from c where decision = 'pass'",
-        "duplicate_texts": f"with {speech} select t, count(*) n, min(sample_id) first_id from s where r = 1 and t <> '' group by t having count(*) > 1",
+        "duplicate_texts": """with s as (select sample_id, coalesce(text.normalized_text, '') t, row_number() over (partition by sample_id order by loaded_at desc, coalesce(text.normalized_text, '') desc) r from tts_text_samples)
+            select t, count(*) n, min(sample_id) first_id from s where r = 1 and t <> '' group by t having count(*) > 1""",
         "latest_review": """select logical_case_id, arg_max(review_id, (reviewed_at, review_id)) review_id, arg_max(decision, (reviewed_at, review_id)) decision,
             (select strftime(max(reviewed_at) at time zone 'UTC', '%Y-%m-%dT%H:%M:%S') || case when epoch_us(max(reviewed_at)) % 1000000 <> 0 then '.' || lpad(cast(epoch_us(max(reviewed_at)) % 1000000 as varchar), 6, '0') else '' end || '+00:00') reviewed_at
             from human_review_record group by logical_case_id""",
@@ -225,18 +265,17 @@ def oracle_sql() -> dict[str, str]:
             select n.qa_id, l.sample_id is not null and n.audio_path is not distinct from l.audio_path and n.observed_audio_sha256 is not distinct from l.observed_audio_sha256 reused,
               coalesce(case when l.sample_id is not null and n.audio_path is not distinct from l.audio_path and n.observed_audio_sha256 is not distinct from l.observed_audio_sha256 then l.asr_transcript end, '') transcript
             from n left join l using (sample_id)""",
-        "upserted_runs": "select o_orderkey, o_custkey, round(case when o_orderkey % 2 = 1 then round(o_totalprice * 2, 2) else o_totalprice end, 2) o_totalprice from orders",
-        "evidence_chain": """with e as (select distinct evidence_id, stage9_qa_id, audio_sha256, artifact_run_id from pronunciation_evidence),
-            q as (select qa_id, max(observed_audio_sha256) heard, max(run_id) run_id from generated_audio_qa group by qa_id),
+        "upserted_reviews": """with r as (select distinct review_id, loaded_at, decision, reviewer_id from human_review_record)
+            select review_id, decision, reviewer_id, epoch_us(loaded_at) loaded_us from (select *, row_number() over (partition by review_id order by loaded_at desc, decision desc, reviewer_id desc) n from r) where n = 1""",
+        "evidence_chain": """with e as (select distinct evidence_id, stage9_qa_id, sample_id, audio_sha256, artifact_run_id, source_text from pronunciation_evidence),
+            q as (select qa_id, max({'l': loaded_at, 'status': status, 'decision': decision, 'sample_id': sample_id, 'run_id': run_id, 'heard': observed_audio_sha256, 'wanted': expected_audio_sha256}) q from generated_audio_qa group by qa_id),
             g as (select current_evidence_id, count(*) filter (where len(list_filter(changes, lambda c: c.material_pronunciation_change)) > 0) n_material from pronunciation_regression where current_evidence_id is not null group by 1)
-            select evidence_id, q.qa_id is not null has_qa, g.current_evidence_id is not null has_regression, coalesce(audio_sha256 = heard, false) same_audio, coalesce(artifact_run_id = run_id, false) same_run, coalesce(n_material, 0) n_material
+            select evidence_id, q.qa_id is not null has_qa, g.current_evidence_id is not null has_regression, concat_ws(',', case when not coalesce(q.q.status = 'completed', false) then 'qa_completed' end, case when not coalesce(q.q.decision = 'pass', false) then 'qa_passed' end,
+              case when not coalesce(e.sample_id = q.q.sample_id, false) then 'one_sample' end, case when not coalesce(e.artifact_run_id = q.q.run_id, false) then 'one_run' end,
+              case when not coalesce(e.audio_sha256 = q.q.heard and e.audio_sha256 = q.q.wanted, false) then 'one_audio' end) problems, coalesce(n_material, 0) n_material
             from e left join q on e.stage9_qa_id = q.qa_id left join g on e.evidence_id = g.current_evidence_id""",
-        "regression_diff": """with a as (select * from part where p_partkey % 7 <> 0), b as (select p_partkey, p_name, case when p_partkey % 11 = 0 then null else p_brand end p_brand, case when p_partkey % 3 = 0 then p_size + 1 else p_size end p_size from part where p_partkey % 5 <> 0),
-            j as (select coalesce(a.p_partkey, b.p_partkey) p_partkey, a.p_partkey is null no_a, b.p_partkey is null no_b, a.p_size is distinct from b.p_size d1, a.p_name is distinct from b.p_name d2, a.p_brand is distinct from b.p_brand d3 from a full join b using (p_partkey))
-            select p_partkey, case when no_a then 'added' when no_b then 'removed' when d1 or d2 or d3 then 'changed' else 'same' end status,
-              case when no_a or no_b then '' else concat_ws(',', case when d1 then 'p_size' end, case when d2 then 'p_name' end, case when d3 then 'p_brand' end) end changed, no_a or no_b or d1 material from j""",
-        "regression_summary": """with r as (select distinct regression_id, changes from pronunciation_regression), m as (select len(list_filter(changes, lambda c: c.material_pronunciation_change)) > 0 m, len(changes) n from r)
-            select count(*) total, count(*) filter (where m) n_material, count(*) filter (where n > 0 and not m) n_immaterial_only from m""",
+        "regression_diff": f"{cases} select sample_id, changes, decision from x where changes <> ''",
+        "regression_summary": f"{cases} select count(*) filter (where not no_a) baseline_cases, count(*) filter (where not no_b) current_cases, count(*) filter (where not no_a and not no_b) compared_cases, count(*) filter (where decision <> 'review') no_regression_detected, count(*) filter (where decision = 'review') review_candidates, count(*) filter (where decision <> 'review' and changes <> '') provenance_only_changes from x",
         "gate_sets": """with g as (select distinct gate_id, reason_codes r, hard_blocker_codes h from release_gate_result), x as (select *, list_concat(r, h) a from g)
             select gate_id, array_to_string(list_filter(a, lambda x, i: list_position(a, x) = i), ',') codes, array_to_string(list_sort(list_distinct(list_filter(h, lambda x: not list_contains(r, x)))), ',') unnamed,
               len(list_filter(h, lambda x: not list_contains(r, x))) = 0 covered, list_sort(list_distinct(h)) = list_sort(list_distinct(r)) equal from x""",
@@ -245,17 +284,28 @@ def oracle_sql() -> dict[str, str]:
             select doc_id, cast(unnest(range(1, len(l) + 1)) as integer) line_no, cast(length(unnest(l)) as integer) n from c""",
         "bad_regions": """with d as (select sample_id, min({'p': lineage.parent_sample_id, 'a': lineage.segment_start_sec, 'b': lineage.segment_end_sec}) x from sample_manifest
               where lineage.parent_sample_id is not null and lineage.segment_start_sec is not null and lineage.segment_end_sec is not null group by sample_id),
-            l as (select sample_id, x.p p, x.a a, x.b b, lag(x.b) over (partition by x.p order by x.a, x.b) e from d)
-            select sample_id, p, concat_ws(',', case when b < a then 'backward' end, case when a < e then 'overlap' end) problems from l where b < a or a < e""",
+            n as (select sample_id p, max(audio.duration_sec) sec from sample_manifest group by sample_id),
+            l as (select sample_id, x.p p, x.a a, x.b b, n.sec, lag(x.b) over (partition by x.p order by x.a, x.b) e from d left join n on n.p = x.p)
+            select sample_id, p, concat_ws(',', case when b < a then 'backward' end, case when a < e then 'overlap' end, case when b > sec then 'beyond' end) problems from l where b < a or a < e or b > sec""",
         "stage_steps": "select distinct sample_id, state.stage stage, case state.stage when 'ingested' then 'audio_prepared' when 'audio_prepared' then 'transcribed' when 'transcribed' then 'curated' when 'text_prepared' then 'curated' else state.stage end \"next\" from sample_manifest",
         "waveform_tails": """with e as (select vec_id, list_transform(embedding, lambda v: abs(cast(v as double))) x from embeddings)
             select vec_id, round(list_max(x), 6) peak, round(sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x)), 6) rms,
-              len(x) - coalesce(list_max(list_filter(list_transform(x, lambda v, i: case when v > power(10.0, -2.5) then i end), lambda k: k is not null)), 0) trailing_samples, cast(7200 as bigint) padding, len(x) n from e""",
-        "contract_violations": """with c as (select sample_id, epoch_us(loaded_at) loaded_us, concat_ws(',', case when not audio.channels > 0 then 'channels_not_positive' end, case when not audio.duration_sec >= 0 then 'duration_negative' end,
+              len(x) - coalesce(list_max(list_filter(list_transform(x, lambda v, i: case when v > power(10.0, -2.5) then i end), lambda k: k is not null)), 0) trailing_samples,
+              coalesce(list_max(list_filter(list_transform(x, lambda v, i: case when v > power(10.0, -2.5) then i end), lambda k: k is not null)), 0) - 1 last_audible, len(x) n from e""",
+        "contract_violations": """with c as (select 'speech_sample' kind, sample_id id, epoch_us(loaded_at) loaded_us, concat_ws(',', case when not audio.channels > 0 then 'channels_not_positive' end, case when not audio.duration_sec >= 0 then 'duration_negative' end,
               case when coalesce(trim(sample_id), '') = '' then 'id_blank' end, case when metadata is not null and not json_valid(metadata) then 'metadata_not_json' end,
-              case when trim(lineage.parent_sample_id) = trim(sample_id) then 'own_parent' end, case when not audio.sample_rate_hz > 0 then 'rate_not_positive' end,
+              case when lower(trim(lineage.parent_sample_id)) = lower(trim(sample_id)) then 'own_parent' end, case when not audio.sample_rate_hz > 0 then 'rate_not_positive' end,
               case when not lineage.segment_end_sec >= lineage.segment_start_sec then 'segment_backward' end, case when (lineage.segment_start_sec is null) <> (lineage.segment_end_sec is null) then 'segment_half_open' end,
-              case when lineage.segment_start_sec is not null and lineage.parent_sample_id is null then 'segment_without_parent' end, case when schema_version <> '1.0' then 'version_unknown' end) broken from sample_manifest)
+              case when lineage.segment_start_sec is not null and lineage.parent_sample_id is null then 'segment_without_parent' end, case when schema_version <> '1.0' then 'version_unknown' end) broken from sample_manifest
+            union all select 'review', review_id, epoch_us(loaded_at), concat_ws(',', case when decision <> 'approve' and len(reason_codes) = 0 then 'reason_given' end, case when len(list_distinct(reason_codes)) <> len(reason_codes) then 'reasons_once' end,
+              case when len(list_filter(resolved_issue_ids, lambda x: not regexp_full_match(x, '[0-9a-f]{64}'))) > 0 then 'resolved_ids' end, case when len(list_distinct(resolved_issue_ids)) <> len(resolved_issue_ids) then 'resolved_once' end,
+              case when rework_target is not null and decision <> 'rework' then 'target_only_for_rework' end) from human_review_record
+            union all select 'gate', gate_id, epoch_us(loaded_at), concat_ws(',', case when decision <> 'released' and len(reason_codes) = 0 then 'held_has_reason' end, case when review_freshness = 'missing' and review_id is not null then 'missing_has_no_review' end,
+              case when decision = 'released' and not (review_freshness = 'current' and human_decision = 'approve') then 'released_is_current' end, case when decision = 'released' and len(reason_codes) + len(hard_blocker_codes) > 0 then 'released_without_reason' end) from release_gate_result
+            union all select 'qa_result', qa_id, epoch_us(loaded_at), concat_ws(',', case when decision = 'drop' and not list_contains(s, 'critical') then 'drop_is_critical' end, case when (status = 'failed') <> (decision = 'undecided') then 'failed_is_undecided' end,
+              case when decision = 'pass' and coalesce(asr_transcript, '') = '' then 'pass_has_evidence' end, case when decision = 'pass' and (list_contains(s, 'warning') or list_contains(s, 'critical')) then 'pass_without_issue' end,
+              case when not regexp_full_match(qa_id, '[0-9a-f]{64}') then 'qa_id' end, case when decision_reasons <> list_transform(issues, lambda i: i.code) then 'reasons_are_codes' end, case when decision = 'review' and coalesce(asr_transcript, '') = '' then 'review_has_evidence' end,
+              case when decision = 'review' and not list_contains(s, 'warning') then 'review_has_warning' end, case when not regexp_full_match(run_id, '[0-9a-f]{64}') then 'run_id' end) from (select *, list_transform(issues, lambda i: i.severity) s from generated_audio_qa))
             select * from c where broken <> ''""",
         "planned_segments": """with r as (select 'order ' || l_orderkey id, (l_linenumber - 1) * 100 a, (l_linenumber - 1) * 100 + cast(l_quantity as bigint) b from lineitem),
             n as (select *, cast(row_number() over (partition by id order by a, b) as varchar) k, sum(b - a) over (partition by id) s from r)

@@ -10,24 +10,26 @@ from pyspark.sql import functions as F
 from ..functions import identity, sets
 from ..functions.ids import compare_form
 from ..operators import history as hx
-from ..operators import integrity, issues
+from ..operators import chains, integrity, issues
 from ..sources.tables import table
 
 
 def _latest(spark: SparkSession, sf: str, name: str, key: str, *columns: str) -> DataFrame:
     rows = table(spark, sf, name).select(key, "loaded_at", *columns)
-    return hx.latest(rows, [key], ["loaded_at", *columns[:1]]).drop("loaded_at")
+    return hx.latest(rows, [key], ["loaded_at", *columns]).drop("loaded_at")
+
+
+# What a review and the gate must agree on for the review to be of the present evidence, as far as these tables hold it.
+EVIDENCE_OF_REVIEW = ("queue_item_id", "sample_id", "artifact_run_id", "stage9_qa_id", "stage10a_evidence_id", "regression_id")
 
 
 def gate_currency(spark: SparkSession, sf: str) -> DataFrame:
     """Each gate with the latest review of its case, and whether that review is of the same evidence."""
-    gates = _latest(spark, sf, "release_gate_result", "gate_id", "logical_case_id", "artifact_run_id", "stage9_qa_id", "stage10a_evidence_id", "regression_id", "review_id")
-    reviews = table(spark, sf, "human_review_record").select("logical_case_id", "reviewed_at", F.col("review_id").alias("last_review"), F.col("decision").alias("last_decision"), *[F.col(c).alias(f"r_{c}") for c in ("artifact_run_id", "stage9_qa_id", "stage10a_evidence_id", "regression_id")]).distinct()
+    gates = _latest(spark, sf, "release_gate_result", "gate_id", "logical_case_id", *EVIDENCE_OF_REVIEW, "review_id")
+    reviews = table(spark, sf, "human_review_record").select("logical_case_id", "reviewed_at", F.col("review_id").alias("last_review"), F.col("decision").alias("last_decision"), *[F.col(c).alias(f"r_{c}") for c in EVIDENCE_OF_REVIEW]).distinct()
     last = hx.latest(reviews, ["logical_case_id"], ["reviewed_at", "last_review"])
     joined = gates.join(last, "logical_case_id", "left")
-    same = F.col("last_review").isNotNull()
-    for c in ("artifact_run_id", "stage9_qa_id", "stage10a_evidence_id", "regression_id"):
-        same = same & F.coalesce(compare_form(F.col(c)) == compare_form(F.col(f"r_{c}")), F.lit(False))
+    same = F.col("last_review").isNotNull() & chains.same_references("", "r_", EVIDENCE_OF_REVIEW, compare_form)
     return joined.select("gate_id", F.coalesce("last_review", F.lit("")).alias("last_review"), F.coalesce("last_decision", F.lit("none")).alias("last_decision"), same.alias("is_current"))
 
 
@@ -44,7 +46,7 @@ def release_chain(spark: SparkSession, sf: str) -> DataFrame:
 
 def review_issue_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Content-addressed id of each issue of a QA row, and the reasons it adds, once each."""
-    rows = _latest(spark, sf, "generated_audio_qa", "qa_id", "decision", "issues", "decision_reasons").where("decision = 'review'")
+    rows = _latest(spark, sf, "generated_audio_qa", "qa_id", "decision", "issues", "decision_reasons")
     each = rows.select("qa_id", "decision_reasons", F.posexplode("issues").alias("at", "issue"))
     address = identity.content_id({"source": F.lit("qa"), "code": F.col("issue.code"), "reference": F.col("qa_id")})
     known = sets.is_subset(F.array("issue.code"), F.col("decision_reasons"))
@@ -59,7 +61,7 @@ def qa_routes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reviewer_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Reviews, cases and median delay of delivery by reviewer and month of review."""
+    """Reviews, cases and longest delay of delivery by reviewer and month of review."""
     from .reference_queries import month_utc
 
     rows = table(spark, sf, "human_review_record").groupBy("review_id", "reviewer_id", "logical_case_id", "reviewed_at").agg(F.min("loaded_at").alias("first"))
@@ -83,7 +85,7 @@ def oracle_sql() -> dict[str, str]:
     def last(name: str, key: str, first: str) -> str:
         return f"(select * exclude (rn) from (select *, row_number() over (partition by {key} order by loaded_at desc, {first} desc) rn from {name}) where rn = 1)"
 
-    same = " and ".join(f"coalesce({_form(f'g.{c}')} = {_form(f'r.{c}')}, false)" for c in ("artifact_run_id", "stage9_qa_id", "stage10a_evidence_id", "regression_id"))
+    same = " and ".join(f"coalesce({_form(f'g.{c}')} = {_form(f'r.{c}')}, false)" for c in EVIDENCE_OF_REVIEW)
     qa = last("generated_audio_qa", "qa_id", "decision")
     return {
         "gate_currency": f"""with g as {last('release_gate_result', 'gate_id', 'logical_case_id')},
@@ -94,7 +96,7 @@ def oracle_sql() -> dict[str, str]:
             select release_id, g.gate_id is not null has_gate, r.review_id is not null has_review, p.regression_id is not null has_regression,
               coalesce(a.artifact_run_id = g.artifact_run_id and a.artifact_run_id = r.artifact_run_id, false) same_run, coalesce(g.decision, 'none') gate_decision
             from a left join g on a.release_gate_id = g.gate_id left join r on a.human_review_id = r.review_id left join p on a.regression_id = p.regression_id""",
-        "review_issue_ids": f"""with q as (select qa_id, decision_reasons d, issues i from {qa} where decision = 'review'), e as (select qa_id, d, unnest(range(1, len(i) + 1)) nth, unnest(i) x from q)
+        "review_issue_ids": f"""with q as (select qa_id, decision_reasons d, issues i from {qa}), e as (select qa_id, d, unnest(range(1, len(i) + 1)) nth, unnest(i) x from q)
             select qa_id, cast(nth as integer) nth, x.code code, x.severity severity, sha256('{{"code":"' || x.code || '","reference":"' || qa_id || '","source":"qa"}}') issue_id, list_contains(d, x.code) named from e""",
         "qa_routes": f"""with q as (select *, case when len(list_filter(issues, lambda i: i.severity = 'critical')) > 0 then 'drop' when len(list_filter(issues, lambda i: i.severity = 'warning')) > 0 then 'review' else 'pass' end derived from {qa})
             select decision, derived, count(*) n, round(sum(audio_duration_sec), 3) total_sec, round(avg(cer), 6) mean_cer from q group by all""",

@@ -94,12 +94,19 @@ def segment_ids(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("sample_id", "p", "s", "dataset_id", nth.alias("n")).select("sample_id", "s", tx.segment_id(F.col("p"), F.col("n")).alias("segment_id"), tx.id_prefix(F.col("dataset_id"), F.col("dataset_id")).alias("prefix"))
 
 
+#: A synthesis as it may be planned; the fingerprint is that of its settings.
+PLANNED = {
+    "backend": "house-tts", "model_name": "custom-voice-a", "speaker": "voice-a", "synthesis_text_strategy": "normalized_text",
+    "config_fingerprint_sha256": identity.fingerprint({"language": "Japanese", "model_path": "models/a", "temperature": 0.9}, without=("model_path",)),
+}
+
+
 def run_identities(spark: SparkSession, sf: str) -> DataFrame:
     """Seed and content address of each planned synthesis."""
     rows = table(spark, sf, "tts_text_samples").select("sample_id", "batch_no", F.col("text.normalized_text").alias("t")).distinct()
     rows = rows.withColumn("seed", identity.seed(7, F.col("sample_id")))
-    fields = {"sample_id": F.col("sample_id"), "seed": F.col("seed"), "synthesis_text": F.col("t"), "speaker": F.lit("voice-a")}
-    return rows.select("sample_id", "batch_no", "seed", identity.content_id(fields).alias("run_id"))
+    planned = {c: F.lit(v) for c, v in PLANNED.items()}
+    return rows.select("sample_id", "batch_no", "seed", identity.record_id("run", sample_id=F.col("sample_id"), seed=F.col("seed"), synthesis_text=F.col("t"), **planned).alias("run_id"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -115,11 +122,11 @@ def _q(x: str) -> str:
     return x.replace("'", "''")
 
 
-def _nfkc_pairs() -> tuple[str, str]:
-    """Single characters whose NFKC is one other character, after the dash folding."""
+def _nfkc_pairs(pre: dict[str, str] | None = None) -> tuple[str, str]:
+    """Single characters whose NFKC is one other character, after the dash folding (or another)."""
     import unicodedata
 
-    pre = dict(zip(*tx.DASHES))
+    pre = dict(zip(*tx.DASHES)) if pre is None else pre
     pairs = [(chr(c), unicodedata.normalize("NFKC", pre.get(chr(c), chr(c)))) for c in range(0xA0, 0x10000) if not 0xD800 <= c <= 0xDFFF and not 0xAC00 <= c <= 0xD7A3]
     pairs = [(a, b) for a, b in pairs if len(b) == 1 and a != b]
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
@@ -138,11 +145,18 @@ def oracle_sql() -> dict[str, str]:
     raw = "(select sample_id, batch_no, epoch_us(loaded_at) loaded_us, text.raw_text t from tts_text_samples)"
     width = f"nfc_normalize(translate(t, '{a}', '{b}'))"
     allowed = "".join(rf"\x{{{ord(c):X}}}" for c in tx.READING_PUNCTUATION + tx.READING_SYMBOLS)
+    # NFKC by single characters, hiragana to katakana by code, then no blanks and punctuation.
+    plain_a, plain_b = map(_q, _nfkc_pairs({}))
+    kana = "".join(chr(c) for c in (*range(0x3041, 0x3097), 0x309D, 0x309E))
+
+    def canonical(column: str) -> str:
+        return f"regexp_replace(translate(nfc_normalize(translate({column}, '{plain_a}', '{plain_b}')), '{kana}', '{''.join(chr(ord(c) + 96) for c in kana)}'), '[{_WS[1:-1]}\\pP]', '', 'g')"
+
     inspect = {
         "latin": f"list_unique_ordered(r, '{tx.LATIN}')",
         "digits": r"list_unique_ordered(r, '\p{Nd}+')",
         "kanji": f"list_unique_ordered(r, '{tx.KANJI}')",
-        "other": rf"list_unique_ordered(r, '[^\s\x{{0B}}\x{{1C}}-\x{{1F}}\x{{A0}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{3000}}\x{{3040}}-\x{{30FF}}A-Za-zＡ-Ｚａ-ｚ\p{{Nd}}\x{{3400}}-\x{{4DBF}}\x{{4E00}}-\x{{9FFF}}\x{{F900}}-\x{{FAFF}}{allowed}]')",
+        "other": rf"list_unique_ordered(r, '[^\s\x{{0B}}\x{{1C}}-\x{{1F}}\x{{A0}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{3000}}\x{{3040}}-\x{{30FF}}\x{{31F0}}-\x{{31FF}}A-Za-zＡ-Ｚａ-ｚ\p{{Nd}}\x{{3400}}-\x{{4DBF}}\x{{4E00}}-\x{{9FFF}}\x{{F900}}-\x{{FAFF}}{allowed}]')",
     }
 
     def once(expression: str) -> str:
@@ -164,8 +178,8 @@ def oracle_sql() -> dict[str, str]:
             c as (select *, array_to_string(list_transform(regexp_extract_all(s1, '[0-9,.]+|[^0-9,.]+'), lambda x: case when regexp_full_match(x, '[0-9]{{1,3}}(,[0-9]{{3}})+') then replace(x, ',', '') else x end), '') s2 from a),
             d as (select *, regexp_replace(regexp_replace(s2, '([A-Za-z0-9])ー([A-Za-z0-9])', '\1-\2', 'g'), '([A-Za-z0-9])ー([A-Za-z0-9])', '\1-\2', 'g') s3 from c),
             e as (select *, regexp_replace(regexp_replace(s3, '{_WS}+', ' ', 'g'), '^ | $', '', 'g') s4 from d)
-            select sample_id, batch_no, loaded_us, nullif(s4, '') normalized, concat_ws(',', case when s1 <> t then 'width' end, case when s2 <> s1 then 'thousands_separator' end,
-              case when s3 <> s2 then 'latin_hyphen' end, case when s4 <> s3 then 'whitespace' end) steps from e""",
+            select sample_id, batch_no, loaded_us, nullif(s4, '') normalized, concat_ws(',', case when s1 <> t then 'jaconv_unicode_width_normalization' end, case when s2 <> s1 then 'numeric_thousands_separator_removed' end,
+              case when s3 <> s2 then 'latin_hyphen_normalization' end, case when s4 <> s3 then 'whitespace_normalization' end) steps from e""",
         "text_substituted": f"select sample_id, batch_no, loaded_us, {swap} \"out\", len(regexp_extract_all(t, '{alternatives}')) n, array_to_string(regexp_extract_all(t, '{alternatives}'), ',') surfaces from {raw}",
         "watch_list": f"with w as (select sample_id, batch_no, epoch_us(loaded_at) loaded_us, text.raw_text r, coalesce(text.normalized_text, '') n from tts_text_samples), u as ({watch}) select * from u where n_found > 0",
         "term_spans": f"""with p as (select sample_id, batch_no, loaded_us, string_split(t, '名札') p from {raw} where contains(t, '名札')),
@@ -183,6 +197,14 @@ def oracle_sql() -> dict[str, str]:
             k as (select *, case when q = '' then 'sample' else q end stem from n)
             select sample_id, s, case when stem = p then stem else stem || '_' || left(sha256(p), 8) end || '__seg' || lpad(n, greatest(4, length(n))::int, '0') segment_id,
               upper(regexp_replace(regexp_replace(dataset_id, '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')) prefix from k""",
+        "transcript_error": f"""with recursive c as materialized (select qa_id, epoch_us(loaded_at) loaded_us, {canonical("actual_synthesis_text")} a, {canonical("coalesce(asr_transcript, '')")} b, row_number() over () k from generated_audio_qa),
+            d(k, j, r) as (select k, 0, cast(range(0, length(a) + 1) as integer[]) from c
+              union all
+              select k, j + 1, cast(list_transform(range(0, len(t)), lambda i: i + list_min(list_transform(t[1:i + 1], lambda v, n: v - n + 1))) as integer[])
+              from (select d.k, d.j, list_transform(range(0, len(d.r)), lambda i: case when i = 0 then d.j + 1 else least(d.r[i + 1] + 1, d.r[i] + case when substr(c.a, i, 1) = substr(c.b, d.j + 1, 1) then 0 else 1 end) end) t from d join c using (k) where d.j < length(c.b)))
+            select qa_id, loaded_us, d.r[len(d.r)] distance, round(d.r[len(d.r)] / nullif(length(a), 0), 6) cer, case when a is null then 'unresolved' when contains(b, a) then 'observed' else 'not_observed' end status
+            from c join d using (k) where d.j = length(c.b)""",
         "run_identities": """with d as (select distinct sample_id, batch_no, text.normalized_text t, cast((cast(('0x' || left(sha256(sample_id), 16)) as ubigint)::hugeint + 7) % 2147483647 as bigint) seed from tts_text_samples)
-            select sample_id, batch_no, seed, sha256('{"sample_id":' || to_json(sample_id) || ',"seed":' || seed || ',"speaker":"voice-a","synthesis_text":' || coalesce(cast(to_json(t) as varchar), 'null') || '}') run_id from d""",
+            select sample_id, batch_no, seed, sha256('{"backend":"house-tts","config_fingerprint_sha256":"' || sha256('{"language":"Japanese","temperature":0.9}') || '","model_name":"custom-voice-a","sample_id":' || to_json(sample_id) || ',"seed":' || seed
+              || ',"speaker":"voice-a","synthesis_text":' || coalesce(cast(to_json(t) as varchar), 'null') || ',"synthesis_text_strategy":"normalized_text"}') run_id from d""",
     }

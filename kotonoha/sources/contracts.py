@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.ids import compare_form
+
 _S, _D, _I = T.StringType(), T.DoubleType(), T.IntegerType()
 
 
@@ -42,7 +44,7 @@ def speech_checks() -> dict[str, Column]:
         "segment_half_open": start.isNull() == end.isNull(),
         "segment_without_parent": start.isNull() | parent.isNotNull(),
         "segment_backward": end >= start,
-        "own_parent": F.trim(parent) != F.trim("sample_id"),
+        "own_parent": compare_form(parent) != compare_form(F.col("sample_id")),
         "metadata_not_json": F.col("metadata").isNull() | F.try_parse_json("metadata").isNotNull(),
         "version_unknown": F.col("schema_version") == "1.0",
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,14 +16,25 @@ BREAKS = r"\r\n|\n|\r"
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line) of text files. A last line break ends the last line; an empty file has no lines.
+    """(file, line_no, line) of text files of any size. A last line break ends the last line; an empty file has no lines.
 
-    Numbering needs whole files, one row each, in ``read_manifest`` and ``ingest_lines`` too, so a file must fit in a task's memory;
-    a larger manifest must come in several files.
+    Files are read in splits. Lines are numbered within their split, and what the splits before it in the file hold is added, so
+    neither a file nor its lines come together in one task.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
-    cut = F.split(F.regexp_replace("value", rf"(?:{BREAKS})\z", ""), BREAKS, -1)
-    return files.where(F.length("value") > 0).select("file", F.posexplode(cut).alias("at", "line")).select("file", (F.col("at") + 1).alias("line_no"), "line")
+    rows = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    # A carriage return breaks lines too, but for the one before a line feed.
+    rows = rows.select("file", "block", "at", F.posexplode(F.split(F.regexp_replace("value", r"\r\z", ""), "\r", -1)).alias("piece", "line"))
+    sizes = rows.groupBy("file", "block").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("file", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = rows.withColumn("nth", F.row_number().over(Window.partitionBy("file", "block").orderBy("at", "piece")))
+    return numbered.join(sizes, ["file", "block"]).select("file", (F.col("before") + F.col("nth")).alias("line_no"), "line")
+
+
+def split_lines(text: Column) -> Column:
+    """Array of the lines of a text; a last line break ends the last line, an empty text has none."""
+    cut = F.split(F.regexp_replace(text, rf"(?:{BREAKS})\z", ""), BREAKS, -1)
+    return F.when(F.length(text) > 0, cut).otherwise(F.array().cast("array<string>"))
 
 
 def _corrupt(schema: T.StructType) -> T.StructType:
@@ -57,14 +68,23 @@ def parse(lines: DataFrame, schema: T.StructType, *, strict: bool = True, skip_b
     return parsed.select(*rows.columns, F.when(problem.isNull(), record).alias("record"), problem.alias("problem"))
 
 
-def read_manifest(spark: SparkSession, path: str, schema: T.StructType, *, key: str | None = None, missing_ok: bool = False, skip_blank: bool = False) -> DataFrame:
-    """Records of a manifest; a bad line raises with file and line number, a repeated ``key`` raises too."""
+def read_manifest(
+    spark: SparkSession, path: str, schema: T.StructType, *, key: str | None = None, missing_ok: bool = False, skip_blank: bool = False, lenient: str | None = None
+) -> DataFrame:
+    """Records of a manifest; a bad line raises with file and line number, a repeated ``key`` raises too. With ``lenient``, a text field
+    of that name may be anything: it is null and ``{name}_missing`` true where it is no text or blank."""
     if missing_ok and not _exists(spark, path):
-        return spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn(f"{lenient}_missing", F.lit(True)) if lenient else empty
     parsed = parse(numbered_lines(spark, path), schema, skip_blank=skip_blank)
     where = F.concat(F.col("file"), F.lit(":"), F.col("line_no").cast("string"), F.lit(": "), F.col("problem"))
     good = parsed.where(F.when(F.col("problem").isNull(), True).otherwise(F.raise_error(where).cast("boolean")))
     out = good.select("record.*")
+    if lenient:
+        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json("line"), f"$.{lenient}", "variant"))
+        fine = F.coalesce((kind == "STRING") & (strip(F.col(f"record.{lenient}")) != ""), F.lit(False))
+        fields = [F.when(fine, F.col(f"record.{c}")).alias(c) if c == lenient else F.col(f"record.{c}").alias(c) for c in schema.names]
+        out = good.select(*fields, (~fine).alias(f"{lenient}_missing"))
     return assert_unique(out, [key], f"repeated {key}") if key else out
 
 
@@ -73,15 +93,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
-def write_manifest(df: DataFrame, path: str, *, key: str | None = None, order: str | None = None) -> None:
-    """Compact JSON lines with nulls kept. With ``order`` (default: ``key``) one file in that order, for byte-equal reruns of small
-    outputs; otherwise as many files as partitions."""
+def write_manifest(df: DataFrame, path: str, *, key: str | None = None, order: str | None = None, single_file: bool = False) -> None:
+    """Compact JSON lines with nulls kept, sorted by ``order`` (default: ``key``): ranges of it go to files whose names are in that order.
+    ``single_file`` brings all into one, for byte-equal reruns of small outputs; without an order rows stay where they are."""
     rows = assert_unique(df, [key], f"repeated {key}") if key else df
     by = order or key
     lines = rows.select(*([F.col(by).alias("__by")] if by else []), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
-    if by:
-        lines = lines.repartition(1).sortWithinPartitions("__by").select("value")
-    lines.write.mode("overwrite").text(path)
+    if single_file:
+        lines = lines.repartition(1)
+        lines = lines.sortWithinPartitions("__by") if by else lines
+    elif by:
+        lines = lines.orderBy("__by")
+    lines.select("value").write.mode("overwrite").text(path)
 
 
 def ingest_lines(spark: SparkSession, path: str, *, prefix: str, dataset_id: str) -> DataFrame:

@@ -123,8 +123,16 @@ def test_preparation_padding_and_tail():
     assert [audio.padding_frames(24_000, ms) for ms in (0, 300, 500)] == [0, 7200, 12_000]
     padded = audio.pad_tail(stereo, 44_100, 300)
     assert (padded[: len(stereo)] == stereo).all() and not padded[len(stereo) :].any()
-    peak, rms, last, trailing, seconds, kind = audio.tail(tone(0.5, 8000, 1, 0.2), 8000)
-    assert kind == "long_trailing_silence" and 0.2 <= seconds < 0.21 and len(audio.tail_windows(stereo, 44_100)) == 5
+    waves = [np.abs(tone(0.5, 8000, 1, 0.2)[:, 0]), np.zeros(40), np.ones(3), np.array([0.5, 0.25, 0.0, 0.001])]
+    got = audio.tails(np.concatenate(waves), np.cumsum([0] + [len(w) for w in waves]), 8000, audible=0.01, bounds=(0.01, 0.1), windows_ms=(1, 50))
+    for k, w in enumerate(waves):
+        heard = [i for i, x in enumerate(w) if x > 0.01]
+        assert got["last_audible"][k] == (heard[-1] if heard else -1) and got["trailing_samples"][k] == len(w) - 1 - (heard[-1] if heard else -1)
+        assert got["peak"][k] == max(w) and abs(got["rms"][k] - np.sqrt(np.mean(w**2))) < 1e-9
+        for ms, n in ((1, 8), (50, 400)):
+            assert got[f"peak_{ms}"][k] == max(w[-n:]) and abs(got[f"rms_{ms}"][k] - np.sqrt(np.mean(w[-n:] ** 2))) < 1e-9
+    assert [audio.TAIL_NAMES[k][:5] for k in got["kind"]] == ["subst", "no_de", "no_de", "no_de"] and 0.2 <= got["trailing_sec"][0] < 0.21
+    assert audio.decibels(np.array([1.0, 0.1])).tolist() == [0.0, -20.0] and np.isnan(audio.decibels(np.zeros(1)))[0]
     assert audio.energy_regions(np.concatenate((np.zeros(8000), tone(0.5, 8000)[:, 0], np.zeros(8000))), 8000) == [(8000, 12_000)]
     with pytest.raises(ValueError):
         audio.padding_frames(24_000, -1)

@@ -58,16 +58,20 @@ def test_expressions_agree_with_plain_definitions(spark, values):
     assert column(spark, known, lambda t: tx.occurrences(t, "ア")) == [v.count("ア") for v in known]
 
 
+WIDTH, THOUSANDS, HYPHEN, BLANKS = (name for name, _ in tx.NORMALIZATION)
+
+
 @pytest.mark.parametrize(
     "raw, text, steps",
     [
-        ("３,５００円", "3500円", ["width", "thousands_separator"]),
-        ("1,234,567円", "1234567円", ["thousands_separator"]),
-        ("Ｗｉ－Ｆｉ", "Wi-Fi", ["width", "latin_hyphen"]),
-        ("ﾁｪｯｸｲﾝ", "チェックイン", ["width"]),
-        ("12,34円 A,B 1,234.5", "12,34円 A,B 1,234.5", []),
-        ("  テスト  😊  ", "テスト 😊", ["whitespace"]),
-        ("　 ", None, ["width", "whitespace"]),
+        ("会費は９，８７６円", "会費は9876円", [WIDTH, THOUSANDS]),
+        ("人口4,321,000", "人口4321000", [THOUSANDS]),
+        ("Ｘ－ｒａｙ室", "X-ray室", [WIDTH, HYPHEN]),
+        ("2ー3ーB ーC", "2-3-B ーC", [HYPHEN]),
+        ("ﾊﾞｽﾃｲ", "バステイ", [WIDTH]),
+        ("9,87 Q,R 5,432.1 1,2,345 ,123", "9,87 Q,R 5,432.1 1,2,345 ,123", []),
+        ("\t朝 \n 夕 ", "朝 夕", [BLANKS]),
+        ("\u3000", None, [WIDTH, BLANKS]),
     ],
 )
 def test_normalisation_and_its_log(spark, raw, text, steps):
