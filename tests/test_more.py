@@ -25,15 +25,20 @@ def test_stream_keeps_latest_and_survives_repeats(spark, tmp_path):
     spark.createDataFrame([("a", 1, "x"), ("b", 5, "y")], schema).write.parquet(source)
 
     def run():
-        query = latest.keep_latest(spark.readStream.schema(schema).parquet(source), ["k"], ["n"], out, mark)
+        query = latest.keep_latest(spark.readStream.schema(schema).parquet(source), ["k"], ["n"], out, mark, fan_in=2)
         query.awaitTermination()
-        return sorted(tuple(r) for r in latest.current(spark, out).collect())
+        return sorted(tuple(r) for r in latest.current(spark, out, ["k"], ["n"]).collect())
 
     assert run() == [("a", 1, "x"), ("b", 5, "y")]
     spark.createDataFrame([("a", 3, "z"), ("b", 2, "old"), ("c", 1, None)], schema).write.mode("append").parquet(source)
     assert run() == [("a", 3, "z"), ("b", 5, "y"), ("c", 1, None)]
     assert run() == [("a", 3, "z"), ("b", 5, "y"), ("c", 1, None)]
-    assert latest.current(spark, str(tmp_path / "none")) is None
+    for n in range(4, 9):
+        spark.createDataFrame([("a", n, "more"), ("d", n, None)], schema).write.mode("append").parquet(source)
+        assert run() == [("a", n, "more"), ("b", 5, "y"), ("c", 1, None), ("d", n, None)]
+    left = latest._parts(spark, out)
+    assert len(left["v"]) <= 2 and len(left["d"]) <= 4
+    assert latest.current(spark, str(tmp_path / "none"), ["k"], ["n"]) is None
 
 
 def test_audio_files(spark, tmp_path):
