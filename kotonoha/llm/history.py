@@ -15,6 +15,9 @@ Cases: a null text is accepted and matches nothing; empty bare forms are equal t
 keeps its first batch (``first_deliveries``); rows with null id are ignored; ties and copies collapse to one form before any
 search, so a text of a third of all rows is one node; very long texts are compared whole; an empty batch
 settles nothing; other columns are ignored.
+
+The search is approximate: a similar pair is lost if its sketches differ by more than ``smallworld.NEAR`` bytes of 64 or the walk doesn't see it.
+``shards`` gives the recall of every shard, ``AcceptedHistory(exact=True)`` loses none.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ from pyspark.sql import types as T
 from .forms import bare_batch, codes_of
 from ..plans.staging import Stage, filesystem
 from . import smallworld
+from .buckets import BucketedTable
 from .copies import _hash
 
 MIN_CHARS = 40
@@ -43,7 +47,7 @@ BLOCK_TEXTS = 16_384
 
 FORM = T.StructType([T.StructField("form", T.StringType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())])
 _PARTS = ("sketch", "counts", "keys", "order", "links", "forms", "ids")
-_SHARD = T.StructType([T.StructField("n", T.LongType()), T.StructField("beam", T.IntegerType()), *[T.StructField(p, T.BinaryType()) for p in _PARTS], T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("similarity", T.DoubleType())])
+_SHARD = T.StructType([T.StructField("n", T.LongType()), T.StructField("beam", T.IntegerType()), T.StructField("recall", T.DoubleType()), *[T.StructField(p, T.BinaryType()) for p in _PARTS], T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("similarity", T.DoubleType())])
 _PAIR = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("similarity", T.DoubleType()), T.StructField("own", T.BooleanType())])
 
 
@@ -67,7 +71,7 @@ def _grams(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return smallworld.gram_sets(codes_of("".join(forms)), offsets)
 
 
-def _build(similarity: float):
+def _build(similarity: float, all_pairs: bool = False):
     """The graph over all texts of a partition as one row, then the pairs of its own texts."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -77,15 +81,16 @@ def _build(similarity: float):
         rows = pd.concat(parts).sort_values("id", kind="stable")  # the same graph whatever the order of arrival
         forms, ids = rows["form"].tolist(), rows["id"].tolist()
         grams, offsets = _grams(forms)
-        graph = smallworld.Graph.build(grams, offsets)
+        graph = smallworld.Graph.build(grams, offsets, not all_pairs)
         text = "\x00".join(forms).encode("utf-8", "surrogatepass")
         row = {
-            "n": len(forms), "beam": graph.beam, "sketch": graph.sketch.tobytes(), "counts": graph.counts.tobytes(), "keys": graph.keys.tobytes(), "order": graph.directory.order.tobytes(),
+            "n": len(forms), "beam": graph.beam, "recall": graph.recall, "sketch": graph.sketch.tobytes(), "counts": graph.counts.tobytes(), "keys": graph.keys.tobytes(), "order": graph.directory.order.tobytes(),
             "links": graph.links.tobytes(), "forms": len(text).to_bytes(8, "little") + pa.compress(text, "zstd", asbytes=True), "ids": "\x00".join(ids).encode(),
         }
         yield _rows(**{k: [v] for k, v in row.items()})
         if similarity <= 1:
-            for q, t in graph.found(grams, offsets, graph.sketch, graph.shared_directory(grams, offsets)):
+            found = smallworld.Prefixes(grams, offsets, similarity).sharing(grams, offsets) if all_pairs else graph.found(grams, offsets, graph.sketch, graph.shared_directory(grams, offsets))
+            for q, t in found:
                 q, t = q[t < q], t[t < q]  # texts stand in the order of their ids
                 exact = smallworld.jaccard(grams, offsets, grams, offsets, q, t)
                 good = exact >= similarity
@@ -99,7 +104,7 @@ def _build(similarity: float):
 
 def _rows(**columns: list) -> pd.DataFrame:
     n = len(next(iter(columns.values())))
-    kinds = {"n": "Int64", "beam": "Int32", "similarity": "Float64"}
+    kinds = {"n": "Int64", "beam": "Int32", "recall": "Float64", "similarity": "Float64"}
     return pd.DataFrame({c: pd.Series(columns.get(c, [None] * n), dtype=kinds.get(c, object)) for c in _SHARD.names})
 
 
@@ -130,7 +135,7 @@ def _shards(uri: str) -> list[Shard]:
     return _loaded[uri]
 
 
-def _search(history: list[str], own: list[str], similarity: float):
+def _search(history: list[str], own: list[str], similarity: float, all_pairs: bool = False):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts = [b for b in batches if len(b)]
         if not parts:
@@ -141,10 +146,11 @@ def _search(history: list[str], own: list[str], similarity: float):
 
     def block(ids: list[str], forms: list[str]) -> Iterator[pd.DataFrame]:
         grams, offsets = _grams(forms)
-        sketch = smallworld.sketches(grams, offsets)
+        sketch = None if all_pairs else smallworld.sketches(grams, offsets)
         for uri, same_batch in [*((u, False) for u in history), *((u, True) for u in own)]:
             for shard in _shards(uri):
-                for q, t in shard.graph.found(grams, offsets, sketch):
+                found = smallworld.Prefixes(*_grams(shard.forms), similarity).sharing(grams, offsets) if all_pairs else shard.graph.found(grams, offsets, sketch)
+                for q, t in found:
                     if same_batch:
                         before = np.fromiter((shard.ids[y] < ids[x] for x, y in zip(q.tolist(), t.tolist())), dtype=bool, count=len(q))
                         q, t = q[before], t[before]
@@ -161,81 +167,99 @@ def _search(history: list[str], own: list[str], similarity: float):
 
 
 class AcceptedHistory:
-    """All accepted texts, extended batch by batch."""
+    """All accepted texts, extended batch by batch. With ``exact`` no graph is searched: candidates are all texts that share a sequence of
+    their rare part with the query (prefix filtering), which loses none at a price that grows with the history."""
 
-    def __init__(self, spark: SparkSession, stage: Stage, *, min_chars: int = MIN_CHARS, similarity: float = SIMILARITY, shard_texts: int = SHARD_TEXTS, fan_in: int = 4):
-        self.spark, self.stage = spark, stage
+    def __init__(
+        self, spark: SparkSession, stage: Stage, *, min_chars: int = MIN_CHARS, similarity: float = SIMILARITY, shard_texts: int = SHARD_TEXTS, fan_in: int = 4, exact: bool = False, buckets: int | None = None
+    ):
+        self.spark, self.stage, self.exact, self.batches = spark, stage, exact, 0
         self.min_chars, self.similarity, self.shard_texts, self.fan_in = min_chars, similarity, shard_texts, fan_in
         self.segments: list[dict] = []  # n, files, texts (id, form)
-        self.settled: DataFrame | None = None  # k1, k2, target: each form with the accepted record it stands for
-        self.rejected: DataFrame | None = None  # id
+        self._settled = BucketedTable(stage, "k1 bigint, k2 bigint, target string", ("k1", "k2"), buckets)  # each form with the accepted record it stands for
+        self._rejected = BucketedTable(stage, "a string", ("a",), buckets)
+        self._found = stage.path("found")
 
     def add(self, batch: DataFrame) -> DataFrame:
         """(id, accepted_id) of the records of a batch of (id, form, k1, k2) that are turned away."""
+        self.batches += 1
         on = ["k1", "k2"]
         rows = batch.where("form is not null")
-        if self.settled is None:
-            old = None
-        else:  # the batch meets the history of forms once; what is left is new
-            rows = self.stage.write(rows.join(self.settled.withColumnRenamed("target", "known"), on, "left"), "met")
+        old = None
+        if not self._settled.empty:  # the batch meets the matching buckets of the history of forms once; what is left is new
+            known = self._settled.matching(self._settled.parts_of(rows)).withColumnRenamed("target", "known")
+            rows = self.stage.write(rows.join(known, on, "left"), "met")
             old = rows.where("known is not null and id <> known").select("id", F.col("known").alias("accepted_id"))
             rows = rows.where("known is null")
         forms = rows.groupBy(*on).agg(F.min(F.struct("id", "form")).alias("f")).select(*on, "f.id", "f.form")
-        fresh = self.stage.write(forms, "fresh")
+        fresh, n = self.stage.write_counted(forms, "fresh", F.length("form") >= self.min_chars)
         texts = fresh.where(F.length("form") >= self.min_chars).select("id", "form")
-        n = texts.count()
         settled = fresh.select(*on, F.col("id").alias("target"))
         if n:
             segment = self._segment(texts, n, self.similarity)
-            turned = self._settle(self._pairs(texts, n, segment))
+            turned = self._settle(*self._pairs(texts, n, segment))
             if turned is not None:
                 target = turned.groupBy("b").agg(F.min(F.struct((-F.col("similarity")).alias("s"), F.col("a"))).alias("best")).select(F.col("b").alias("id"), F.col("best.a").alias("to"))
-                settled = fresh.join(target, "id", "left").select(*on, F.coalesce("to", "id").alias("target"), F.when(F.col("to").isNotNull(), F.col("id")).alias("lost"))
-                settled = self.stage.write(settled, "settled")
-                lost = settled.where("lost is not null").select(F.col("lost").alias("id"))
-                self.rejected = lost if self.rejected is None else self.rejected.unionByName(lost)
+                settled = self.stage.write(fresh.join(target, "id", "left").select(*on, F.coalesce("to", "id").alias("target"), F.when(F.col("to").isNotNull(), F.col("id")).alias("lost")), "settled")
+                self._rejected.append(settled.where("lost is not null").select(F.col("lost").alias("a")))
                 settled = settled.select(*on, "target")
             self.segments.append(segment)
             self._compact()
-        self.settled = settled if self.settled is None else self.settled.unionByName(settled)
+        self._settled.append(settled)
         found = rows.select("id", *on).join(settled, on).where("id <> target").select("id", F.col("target").alias("accepted_id"))
-        return found if old is None else found.unionByName(old)
+        found = found if old is None else found.unionByName(old)
+        found.withColumn("batch", F.lit(self.batches)).write.mode("append").parquet(self._found)
+        return self.turned_away().where(F.col("batch") == self.batches).drop("batch")
+
+    def turned_away(self) -> DataFrame:
+        """(id, accepted_id, batch) of all batches so far."""
+        schema = "id string, accepted_id string, batch int"
+        return self.spark.read.schema(schema).parquet(self._found) if self.batches else self.spark.createDataFrame([], schema)
+
+    def shards(self) -> DataFrame:
+        """(n, beam, recall) of every shard: the share of similar pairs that its search found when its beam was chosen, by exact
+        similarity against all texts of the shard (null where it is searched exhaustively)."""
+        out = self.spark.createDataFrame([], "n long, beam int, recall double")
+        for s in self.segments:
+            out = out.unionByName(s["rows"].where("n is not null").select("n", "beam", "recall"))
+        return out
 
     def _segment(self, texts: DataFrame, n: int, similarity: float = 2.0) -> dict:
         """Graph shards of the texts; similar pairs within a shard are found while it is at hand (none above 1)."""
         shards = math.ceil(n / self.shard_texts)
-        built = self.stage.write(texts.repartition(shards, "id").mapInPandas(_build(similarity), _SHARD), "graph")
+        built = self.stage.write(texts.repartition(shards, "id").mapInPandas(_build(similarity, self.exact), _SHARD), "graph")
         return {"n": n, "files": sorted(built.inputFiles()), "texts": texts, "rows": built, "shards": shards}
 
-    def _pairs(self, texts: DataFrame, n: int, segment: dict) -> DataFrame:
+    def _pairs(self, texts: DataFrame, n: int, segment: dict) -> tuple[DataFrame, int]:
+        """Similar pairs with an accepted text or one of the batch, and the number of those within the batch."""
         pairs = segment["rows"].where("a is not null").select("a", "b", "similarity", F.lit(True).alias("own"))
         history = [f for s in self.segments for f in s["files"]]
         others = segment["files"] if segment["shards"] > 1 else []
         if history or others:
             blocks = texts.repartition(max(1, math.ceil(n / BLOCK_TEXTS)), "id")
-            pairs = pairs.unionByName(blocks.mapInPandas(_search(history, others, self.similarity), _PAIR))
-        if self.rejected is not None:
-            pairs = pairs.join(self.rejected.select(F.col("id").alias("a")), "a", "left_anti")
-        return self.stage.write(pairs, "pairs")
-
-    def _settle(self, pairs: DataFrame) -> DataFrame | None:
-        """The pairs (a, b) whose earlier text is accepted: their later text is turned away."""
+            pairs = pairs.unionByName(blocks.mapInPandas(_search(history, others, self.similarity, self.exact), _PAIR))
+        if not self._rejected.empty:
+            pairs = self.stage.write(pairs, "candidates")
+            pairs = pairs.join(self._rejected.matching(self._rejected.parts_of(pairs.where("not own"))), "a", "left_anti")
+        return self.stage.write_counted(pairs, "pairs", F.col("own"))
+
+    def _settle(self, pairs: DataFrame, n: int) -> DataFrame | None:
+        """The pairs (a, b) whose earlier text is accepted: their later text is turned away. A round settles all texts whose earlier
+        neighbours are settled, so there are as many as the longest chain of neighbours within the batch."""
         old = pairs.where(~F.col("own"))
         done = [old]
-        gone = old.select(F.col("b").alias("x")).distinct()
-        own = pairs.where("own").join(gone.select(F.col("x").alias("a")), "a", "left_anti").select("a", "b", "similarity", "own")
-        left = self.stage.write(own, "open")
-        n = left.count()
+        if n:
+            gone = old.select(F.col("b").alias("a")).distinct()
+            left, n = self.stage.write_counted(pairs.where("own").join(gone, "a", "left_anti").select("a", "b", "similarity", "own"), "open")
         if not n and old.isEmpty():
             return None
         while n:
             heads = left.select("a").distinct().join(left.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
-            won = self.stage.write(left.join(heads, "a"), "won")
-            done.append(won.select("a", "b", "similarity", "own"))
-            lost = won.select(F.col("b").alias("a")).distinct()
+            won = self.stage.write(left.join(heads, "a").select("a", "b", "similarity", "own"), "won")
+            done.append(won)
             # What is turned away accepts nothing; what has been accepted needs no further look.
-            left = self.stage.write(left.join(lost.unionByName(heads), "a", "left_anti").select("a", "b", "similarity", "own"), "open")
-            n = left.count()
+            settled = won.select(F.explode(F.array("a", "b")).alias("a")).distinct()
+            left, n = self.stage.write_counted(left.join(settled, "a", "left_anti").select("a", "b", "similarity", "own"), "open")
         out = done[0]
         for part in done[1:]:
             out = out.unionByName(part)
@@ -251,10 +275,9 @@ class AcceptedHistory:
                 texts = own[0]["texts"]
                 for s in own[1:]:
                     texts = texts.unionByName(s["texts"])
-                if self.rejected is not None:
-                    texts = texts.join(self.rejected, "id", "left_anti")
-                texts = self.stage.write(texts.select("id", "form"), "texts")
-                merged = self._segment(texts, texts.count())
+                if not self._rejected.empty:
+                    texts = texts.join(self._rejected.unbucketed().withColumnRenamed("a", "id"), "id", "left_anti")
+                merged = self._segment(*self.stage.write_counted(texts.select("id", "form"), "texts"))
                 self.segments = [s for s in self.segments if s not in own] + [merged]
                 for path in {f.rsplit("/", 1)[0] for s in own for f in s["files"]}:
                     self.stage.remove(path)

@@ -72,13 +72,10 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "tts_text_samples").select("sample_id", "batch_no", "text.raw_text")
     records = history.first_deliveries(rows, "sample_id", "batch_no", "raw_text")
     keyed = stage.write(records.select("id", "batch", history.bare_key("text").alias("k")).select("id", "batch", "k.*"), "keyed", "batch")
-    accepted, found = history.AcceptedHistory(spark, stage), None
+    accepted = history.AcceptedHistory(spark, stage)
     for number in sorted((r["batch"] for r in keyed.select("batch").distinct().collect()), key=lambda x: (x is None, x)):  # one row per batch
-        part = accepted.add(keyed.where(F.col("batch").eqNullSafe(number)).drop("batch"))
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = accepted.add(keyed.drop("batch"))
-    return found.select(F.least("id", "accepted_id").alias("sample_id_a"), F.greatest("id", "accepted_id").alias("sample_id_b"))
+        accepted.add(keyed.where(F.col("batch").eqNullSafe(number)).drop("batch"))
+    return accepted.turned_away().select(F.least("id", "accepted_id").alias("sample_id_a"), F.greatest("id", "accepted_id").alias("sample_id_b"))
 
 
 def _sql(x: str) -> str:
@@ -137,6 +134,17 @@ def oracle_sql() -> dict[str, str]:
     forms = f"with f as ({_FIELDS_SQL}), k as (select *, {looks_same_oracle('txt')} form from f)"
     groups = f"with r as materialized ({_copies_sql()}), g as (select table_name, k, min(id) first_id, count(*) n_copies from r group by all)"
     return {
+        "p4_found": f"""with recursive r as materialized (select sample_id id, min(batch_no) b, {bare_oracle("arg_min(text.raw_text, batch_no)")} f from tts_text_samples where text.raw_text is not null group by sample_id),
+            n as materialized (select f, row_number() over (order by min({{'b': b, 'i': id}})) o, min({{'b': b, 'i': id}}).i id from r group by f),
+            g as materialized (select o, f[k:k + 2] g from (select distinct o, f, unnest(range(1, length(f) - 1)) k from n where length(f) >= {history.MIN_CHARS}) group by all),
+            z as materialized (select o, count(*) z from g group by o),
+            p as materialized (select a, b, s from (select x.o a, y.o b, count(*) ib from g x join g y on x.g = y.g and x.o < y.o group by all) join z u on u.o = a join z v on v.o = b, (select ib / (u.z + v.z - ib) s) where s >= {history.SIMILARITY}),
+            t(o, s) using key (o) as (
+              select b, 0 from p group by b union select a, 1 from p where a not in (select b from p) group by a
+              union
+              select c.o, case when max(cast(e.s = 1 as int)) = 1 then 2 else 1 end from recurring.t c join p on p.b = c.o join recurring.t e on e.o = p.a where c.s = 0 and exists (select 1 from t) group by c.o having max(cast(e.s = 1 as int)) = 1 or min(e.s) = 2),
+            m as (select b o, arg_min(w.id, (-p.s, w.id)) target from p join t c on c.o = p.b and c.s = 2 join t e on e.o = p.a and e.s = 1 join n w on w.o = p.a group by b)
+            select least(r.id, coalesce(m.target, n.id)) sample_id_a, greatest(r.id, coalesce(m.target, n.id)) sample_id_b from r join n using (f) left join m using (o) where r.id <> coalesce(m.target, n.id)""",
         "p3_found": f"{groups} select table_name, first_id, id copy_id from r join g using (table_name, k) where id <> first_id",
         "p3_groups": f"{groups} select table_name, first_id, n_copies from g",
         "p1_found": f"""{forms}, g as (select field_name, form, arg_min(txt, id) first_txt, min(id) first_id from k group by field_name, form)

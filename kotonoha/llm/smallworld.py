@@ -11,7 +11,8 @@ unexpanded; a block of queries moves in lockstep. Every text seen within ``NEAR`
 stays in the beam. A query that sees as many near texts as its beam or a text's links hold may have missed more of them, so it is
 compared with all sketches of the shard. When a graph is built, its beam is widened until all texts that are ``ALIKE`` to disturbed
 members (a quarter of their set replaced), to members and to members with the most near links, the latter two by the shared keys, are
-found as often as comparing with all sketches finds them; if no width does, it is searched exhaustively.
+found as often as comparing with all sketches finds them; if no width does, it is searched exhaustively. What it finds of the texts that are
+``ALIKE`` by exact overlap with all texts is kept as its recall.
 """
 
 from __future__ import annotations
@@ -191,6 +192,7 @@ class Graph:
     def __init__(self, sketch: np.ndarray, counts: np.ndarray, keys: np.ndarray, links: np.ndarray, beam: int, order: np.ndarray | None = None):
         self.sketch, self.counts, self.keys, self.links, self.beam = sketch, counts, keys, links, beam
         self.directory = Directory(keys, order)
+        self.recall: float | None = None  # measured while the graph is built
         self.crowd = np.zeros(len(sketch), dtype=np.int64)  # near links of each text, known while the graph is built
         self.landmarks = np.unique(np.linspace(0, len(sketch) - 1, LANDMARKS).astype(np.int64)) if len(sketch) else np.zeros(0, dtype=np.int64)
 
@@ -247,8 +249,36 @@ class Graph:
                 if np.isin(truth, q << 32 | t).sum() < least * len(truth):
                     break
             else:
-                return
-        self.beam = 0
+                break
+        else:
+            self.beam = 0
+        self.recall = self._recall(trials, grams, offsets)
+
+    def _recall(self, trials: list[tuple], grams: np.ndarray, offsets: np.ndarray, sample: int = 30) -> float:
+        """Share of the texts ALIKE to the first queries of each trial, by exact overlap with every text of the shard, that a search sees."""
+        parts, found, n = [], [], 0
+        for own, at, sketch, keys in trials:
+            k = min(sample, len(at) - 1)
+            parts += [own[at[i] : at[i + 1]] for i in range(k)]
+            q, t = self.search(own[: at[k]], at[: k + 1], sketch[:k], keys)
+            found.append(q + n << 32 | t)
+            n += k
+        own, at = _joined(parts)
+        if not len(own):
+            return 1.0
+        order = np.argsort(own, kind="stable")
+        known, query = own[order], np.repeat(np.arange(n), np.diff(at))[order]
+        low = np.searchsorted(known, grams)
+        low[low == len(known)] = 0
+        hits = np.flatnonzero(known[low] == grams)
+        low = low[hits]
+        count = np.searchsorted(known, known[low], side="right") - low
+        place = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        texts = len(offsets) - 1
+        owner = np.repeat(np.arange(texts), np.diff(offsets))[hits]
+        shared = np.bincount(query[place] * texts + np.repeat(owner, count), minlength=n * texts).reshape(n, texts)
+        q, t = np.nonzero(shared >= ALIKE * (np.diff(at)[:, None] + np.diff(offsets)[None, :] - shared))
+        return float(np.isin(q << 32 | t, np.concatenate(found)).mean()) if len(q) else 1.0
 
     def shared_directory(self, grams: np.ndarray, offsets: np.ndarray) -> Directory:
         """Directory for searches among the shard's own texts, whose sets these are: a hash that only the query has leads
@@ -330,6 +360,52 @@ class Graph:
         return pairs >> 32, pairs & 0xFFFFFFFF
 
 
+def _rarest(grams: np.ndarray, offsets: np.ndarray, similarity: float, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(grams, owner): of each set x its rarest |x| - ceil(similarity |x|) + 1 elements, ties by hash. What is that similar has one of them."""
+    sizes = np.diff(offsets)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((grams, seen, owner))
+    place = np.arange(len(grams)) - np.repeat(offsets[:-1], sizes)
+    keep = place < np.repeat(sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1, sizes)
+    return grams[order][keep], owner[keep]
+
+
+class Prefixes:
+    """Exact candidates by prefix filtering: of two sets with a Jaccard similarity of at least t, the rarest |x| - ceil(t |x|) + 1
+    elements of one have an element in common with those of the other, in any order of elements that is the same for both."""
+
+    def __init__(self, grams: np.ndarray, offsets: np.ndarray, similarity: float):
+        self.similarity = similarity
+        self.known, counts = np.unique(grams, return_counts=True)
+        self.counts = counts
+        kept, owner = self._prefix(grams, offsets)
+        order = np.argsort(kept, kind="stable")
+        self.grams, self.owner = kept[order], owner[order]
+
+    def _prefix(self, grams: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.known, grams)
+        at[at == len(self.known)] = 0
+        seen = np.where(self.known[at] == grams, self.counts[at], 0) if len(self.known) else np.zeros(len(grams), dtype=np.int64)
+        return _rarest(grams, offsets, self.similarity, seen)
+
+    def sharing(self, grams: np.ndarray, offsets: np.ndarray, most: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, text) that may be similar, each once, with all pairs of a query together."""
+        kept, owner = self._prefix(grams, offsets)
+        low, high = np.searchsorted(self.grams, kept, side="left"), np.searchsorted(self.grams, kept, side="right")
+        ends = np.searchsorted(owner, np.arange(1, len(offsets)))
+        total = np.concatenate(([0], np.cumsum(high - low)))[ends]
+        first, n = 0, len(offsets) - 1
+        while first < n:
+            last = max(first + 1, int(np.searchsorted(total, (total[first - 1] if first else 0) + most, side="right")))
+            own = slice(ends[first - 1] if first else 0, ends[last - 1])
+            count = high[own] - low[own]
+            query = np.repeat(owner[own], count)
+            text = self.owner[np.repeat(low[own] - (np.cumsum(count) - count), count) + np.arange(len(query))]
+            pairs = np.unique(query.astype(np.int64) << 32 | text)
+            yield pairs >> 32, pairs & 0xFFFFFFFF
+            first = last
+
+
 def _joined(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])))
 
