@@ -18,7 +18,8 @@ from .forms import codes_of, fold_map
 
 KINDS = ("prose", "list", "table", "junk")
 PROSE, LIST, TABLE, JUNK = range(4)
-MAX_CHARS = 2000
+#: Bins of the table of pairs of characters; pairs that share a bin are counted together.
+PAIR_BITS = 22
 SEPARATORS = ("\t", "|", ";", ",", "  ")
 
 LINE_END = re.compile(r"\r\n|\n|\r")
@@ -87,11 +88,11 @@ def kind_by_rule(lines: list[str]) -> str | None:
 
 
 def _kinds_of_char() -> np.ndarray:
-    """0 letter, 1 digit, 2 punctuation, 3 symbol or damaged, 4 blank, over the basic plane."""
+    """0 letter, 1 digit, 2 punctuation, 3 symbol or damaged, 4 blank or unassigned, over all code points."""
     import unicodedata
 
-    out = np.zeros(0x10000, dtype=np.uint8)
-    for cp in range(0x10000):
+    out = np.full(0x110000, 4, dtype=np.uint8)
+    for cp in range(0x33480):  # nothing but tags, selectors and private use beyond
         cat = unicodedata.category(chr(cp))
         out[cp] = 0 if cat[0] in "LM" else 1 if cat[0] == "N" else 4 if cat[0] in "ZC" else 2 if cat[0] == "P" else 3
     for ch in "#%&*@\\[]{}§¶¿¡�":
@@ -100,6 +101,16 @@ def _kinds_of_char() -> np.ndarray:
     return out
 
 
+def _char_bins(codes: np.ndarray) -> np.ndarray:
+    """16 bits of every character; those of the basic plane keep their own."""
+    return (codes ^ (codes >> np.uint32(16)) * np.uint32(0x9E37)) & np.uint32(0xFFFF)
+
+
+def _pair_bins(chars: np.ndarray) -> np.ndarray:
+    mixed = chars[:-1] * np.uint32(0x9E3779B1) + chars[1:] * np.uint32(0x85EBCA77)
+    return (mixed ^ mixed >> np.uint32(15)) * np.uint32(0xC2B2AE35) >> np.uint32(32 - PAIR_BITS)
+
+
 _char_kinds: np.ndarray | None = None
 
 
@@ -130,8 +141,10 @@ class LineModel:
     """Fitted parameters; small enough to travel with a task."""
 
     def __init__(self) -> None:
-        self.ids = np.zeros(0x10000, dtype=np.uint16)
-        self.follow = np.zeros((1, 1), dtype=np.float32)
+        # Counts of pairs by bin, log of each character's share times 2, log of its count plus 2: all characters are treated alike.
+        self.pairs = np.zeros(1 << PAIR_BITS, dtype=np.float16)
+        self.single = np.full(0x10000, 2.0 / 0x10000, dtype=np.float32)
+        self.before = np.full(0x10000, np.log(2.0), dtype=np.float32)
         self.edges = np.zeros(5)
         self.start = np.log(np.full(4, 0.25))  # kept even: how common a kind is says little of a single text
         self.step = np.log(np.full((4, 4), 0.25))
@@ -140,32 +153,26 @@ class LineModel:
 
     # Line statistics ---------------------------------------------------------------------------------------------
 
-    def _fit_follow(self, texts: Iterable[str], max_chars: int) -> None:
-        texts = list(texts)
-        seen: Counter[str] = Counter()
-        for t in texts:
-            seen.update(t)
-        for i, (ch, _) in enumerate(sorted(seen.most_common(max_chars), key=lambda x: (-x[1], x[0])), 1):
-            if ord(ch) < 0x10000:
-                self.ids[ord(ch)] = i
-        n = int(self.ids.max()) + 1
-        pairs = np.zeros((n, n))
+    def _fit_follow(self, texts: Iterable[str]) -> None:
+        pairs, first, single = np.zeros(1 << PAIR_BITS), np.zeros(0x10000), np.full(0x10000, 0.5)
         for t in texts:
-            own = self.ids[np.minimum(codes_of(t), 0xFFFF)]
-            np.add.at(pairs, (own[:-1], own[1:]), 1)
-        single = pairs.sum(axis=0) + 0.5
-        single /= single.sum()
-        self.follow = np.log((pairs + 2.0 * single[None, :]) / (pairs.sum(axis=1, keepdims=True) + 2.0)).astype(np.float32)
+            chars = _char_bins(codes_of(t))
+            np.add.at(pairs, _pair_bins(chars), 1)
+            first += np.bincount(chars[:-1], minlength=0x10000)
+            single += np.bincount(chars[1:], minlength=0x10000)
+        self.pairs = np.minimum(pairs, 60_000).astype(np.float16)
+        self.single = (2.0 * single / single.sum()).astype(np.float32)
+        self.before = np.log(first + 2.0).astype(np.float32)
 
     def scores(self, lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per line: mean log-likelihood of its characters, share of symbols, of digits, and of repeated pairs."""
         if not lines:
             return (np.zeros(0),) * 4
         sizes = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
-        codes = np.minimum(codes_of("\n".join(lines) + "\n"), 0xFFFF)
+        codes = codes_of("\n".join(lines) + "\n")
         begins = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-        own = self.ids[codes]
-        step = self.follow[own[:-1], own[1:]]
+        own = _char_bins(codes)
+        step = np.log(self.pairs[_pair_bins(own)].astype(np.float32) + self.single[own[1:]]) - self.before[own[:-1]]
         step = np.append(step, np.float32(0))
         step[begins + sizes] = 0
         step[begins + sizes - 1] = 0
@@ -202,7 +209,7 @@ class LineModel:
     # Fitting -----------------------------------------------------------------------------------------------------
 
     @staticmethod
-    def fit(labelled: list[tuple[str, str]], max_chars: int = MAX_CHARS, rounds: int = 5) -> LineModel:
+    def fit(labelled: list[tuple[str, str]], rounds: int = 5) -> LineModel:
         """``labelled``: (text, kind). Each half of the documents is scored by the character statistics of the other,
         so that texts seen and unseen are graded alike. The first rounds keep to the labels (or prose); the later ones
         may overrule a label, as some are wrong."""
@@ -212,7 +219,7 @@ class LineModel:
         half = (len(docs) + 1) // 2
         model = LineModel()
         model.fitted = bool(docs)
-        model._fit_follow(_readable(docs), max_chars)
+        model._fit_follow(_readable(docs))
         lines = [x for own, _ in docs for x in own]
         sizes = np.array([len(own) for own, _ in docs], dtype=np.int64)
         first = np.zeros(len(lines), dtype=bool)
@@ -223,7 +230,7 @@ class LineModel:
         scores = [np.zeros(0)]
         for own, others in ((docs[:half], docs[half:]), (docs[half:], docs[:half])):
             other = LineModel()
-            other._fit_follow(_readable(others), max_chars)
+            other._fit_follow(_readable(others))
             scores.append(other.scores([x for x, _ in own for x in x])[0])
         likely = np.concatenate(scores)
         prose = likely[state == PROSE]

@@ -2,15 +2,14 @@
 
 ``statistics`` computes word count, mean word length, symbol ratio, share of lines ending in punctuation and share of
 common words with built-in functions. ``line_kinds`` labels every line prose, list, table or junk by the model
-of ``linemodel`` and returns the shares per document; ``kinds`` decides the document: where lines other than
-prose were found, the definitions of table and list are checked exactly; junk is what the model calls junk in more
-than half of the lines, and what shows nothing. Both read the text once and shuffle nothing.
+of ``linemodel``, aggregates the shares per document and takes the kind that has most lines; a text that shows nothing is junk. Both
+read the text once and shuffle nothing.
 
-The model is fitted on at most ``max_labelled`` labelled documents, chosen by a hash of their ids; everything else covers all
-documents whole.
+The model is fitted on labelled documents chosen by a hash of their ids, at most ``max_labelled`` of at most ``max_chars`` characters
+together; everything else covers all documents whole.
 
 Cases: a null text has no statistics and no kind; a text without visible characters has no lines and is junk; without
-labels every document that isn't a table or list by definition counts as prose; repeated rows are
+labels the definitions of table and list alone decide and no other text is junk; repeated rows are
 repeated; an empty table gives no rows; lines of any length are handled whole.
 """
 
@@ -20,12 +19,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .linemodel import JUNK, KINDS, LineModel, folded, kind_by_rule, lines_of
+from .linemodel import KINDS, LineModel, folded, kind_by_rule, lines_of
 
 MAX_LABELLED = 5_000
+MAX_LABELLED_CHARS = 12_000_000
+#: Common words that may become part of the plan.
+IN_PLAN = 20_000
 #: Runs of one script count as words, so that scripts without blanks have words too.
 WORD = r"[\p{IsHan}々]+|\p{IsHiragana}+|[\p{IsKatakana}ー]+|\p{IsLatin}+|[\p{IsGreek}\p{IsCyrillic}]+|[0-9]+"
 SYMBOL = r"[^\p{L}\p{M}\p{N}\p{P}\p{Z}\p{C}]"
@@ -35,19 +37,21 @@ BREAK = r"\r\n|\n|\r"
 def statistics(documents: DataFrame, common: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, mean_word_length, symbol_ratio, punctuation_line_share, common_word_share).
 
-    ``common`` (word) is a list of function words; it must stay below a megabyte, as it becomes part of the plan.
+    ``common`` (word) is a list of function words. A counted list of at most ``IN_PLAN`` words becomes a hash set of the plan; a
+    longer one is joined, by shuffle or by broadcast as its size asks for, with the distinct words of each document.
     """
-    listed = sorted({r[0].lower() for r in common.select("word").where("word is not null").limit(20_001).collect()})
-    if len(listed) > 20_000:
-        raise ValueError("common words must be a list of at most 20,000 words")
-    known: Column = F.create_map(*[F.lit(x) for w in listed for x in (w, 1)]) if listed else F.create_map(F.lit(""), F.lit(0))
+    wanted = common.select(F.lower("word").alias("word")).where("word is not null").distinct()
+    listed = sorted(r[0] for r in wanted.limit(IN_PLAN + 1).collect())
     words = F.regexp_extract_all(F.col("t"), F.lit(WORD), F.lit(0))
     lines = F.filter(F.split(F.col("t"), BREAK), lambda x: x.rlike(r"[^\p{Z}\t]"))
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("t")).where(F.col("t").isNotNull())
     rows = rows.select("doc_id", F.length("t").alias("n"), words.alias("w"), lines.alias("l"), F.regexp_count("t", F.lit(SYMBOL)).alias("s"))
+    if len(listed) > IN_PLAN:
+        rows = _with_hits(rows, wanted)
+    else:
+        rows = rows.withColumn("hits", F.size(F.filter("w", lambda x: x.isin(*listed))) if listed else F.lit(0))
     n_words, n_lines = F.size("w"), F.size("l")
     letters = F.length(F.array_join("w", ""))
-    hits = F.size(F.filter("w", lambda x: F.element_at(known, x).isNotNull()))
     ends = F.size(F.filter("l", lambda x: x.rlike(r"\p{P}[\p{Z}\t]*\z")))
     share = lambda a, b: F.round(F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0)), 6)
     return rows.select(
@@ -56,17 +60,31 @@ def statistics(documents: DataFrame, common: DataFrame, doc_id: str = "doc_id",
         share(letters, n_words).alias("mean_word_length"),
         share(F.col("s"), F.col("n")).alias("symbol_ratio"),
         share(ends, n_lines).alias("punctuation_line_share"),
-        share(hits, n_words).alias("common_word_share"),
+        share(F.col("hits"), n_words).alias("common_word_share"),
     )
 
 
-def fit(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "label", max_labelled: int = MAX_LABELLED) -> LineModel:
-    """The line model of a bounded sample of labelled documents, the same whatever the order of rows."""
+def _with_hits(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Adds ``hits``, the number of words of each row that are wanted; rows are told apart by a number of their own."""
+    keyed = rows.withColumn("row", F.xxhash64("doc_id", F.concat_ws(" ", "w"), "n", "s", F.concat_ws("\n", "l")))
+    words = keyed.select("row", F.explode("w").alias("word")).groupBy("row", "word").agg(F.count("*").alias("c"))
+    repeated = keyed.groupBy("row").agg(F.count("*").alias("copies"))
+    hits = words.join(wanted, "word").groupBy("row").agg(F.sum("c").alias("all_hits")).join(repeated, "row")
+    return keyed.join(hits, "row", "left").withColumn("hits", F.coalesce(F.col("all_hits") / F.col("copies"), F.lit(0.0)).cast("int")).drop("row", "all_hits", "copies")
+
+
+def fit(
+    documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "label", max_labelled: int = MAX_LABELLED, max_chars: int = MAX_LABELLED_CHARS
+) -> LineModel:
+    """The line model of a bounded sample of labelled documents, the same whatever the order of rows: the first by a hash of their ids,
+    as many as ``max_labelled`` documents and ``max_chars`` characters hold."""
     chosen = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(*KINDS))
     chosen = chosen.groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    texts = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    rows = texts.join(F.broadcast(chosen), "doc_id").collect()  # at most max_labelled ids are broadcast
-    return LineModel.fit([(r["text"], r["label"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))])
+    texts = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
+    rows = texts.join(F.broadcast(chosen), "doc_id")  # at most max_labelled ids are broadcast
+    rows = rows.withColumn("size", F.sum(F.length("text")).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id", "text")))  # as many rows, in one task
+    taken = rows.where(F.col("size") <= max_chars).select("doc_id", "text", "label").collect()
+    return LineModel.fit([(r["text"], r["label"]) for r in sorted(taken, key=lambda r: (r["doc_id"], r["text"]))])
 
 
 def _label(model: LineModel):
@@ -88,10 +106,10 @@ def _label(model: LineModel):
         counts = np.zeros((len(docs), 4))
         np.add.at(counts, (np.repeat(np.arange(len(docs)), sizes), states), 1)
         shares = counts / np.maximum(sizes, 1)[:, None]
-        kinds = []
-        for own, share in zip(docs, shares):
-            rule = kind_by_rule(own) if own and (share[0] < 1 or not model.fitted) else None
-            kinds.append(rule or ("junk" if not own or share[JUNK] > 0.5 else "prose"))
+        if model.fitted:
+            kinds = [KINDS[k] if n else "junk" for k, n in zip(shares.argmax(axis=1).tolist(), sizes.tolist())]
+        else:
+            kinds = [(kind_by_rule(own) or "prose") if own else "junk" for own in docs]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes.astype(np.int32)), *[pa.array(np.round(shares[:, k], 6)) for k in range(4)], pa.array(kinds)], schema=schema
         )
