@@ -56,6 +56,10 @@ def phrase_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mixed ^ ((ends - starts).astype(np.uint64) << np.uint64(1))
 
 
+def _short(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+
+
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
     """Suffix array by prefix doubling; each round sorts only the suffixes that still tie."""
     n = len(symbols)
@@ -86,12 +90,13 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 class Bits:
     """A bit vector with rank in constant time."""
 
-    def __init__(self, bits: np.ndarray):
-        n = len(bits)
-        packed = np.zeros((n // 64 + 1) * 8, dtype=np.uint8)
-        bytes_ = np.packbits(bits, bitorder="little")
-        packed[: len(bytes_)] = bytes_
-        self.words = packed.view(np.uint64)
+    def __init__(self, bits: np.ndarray | None, words: np.ndarray | None = None):
+        if words is None:
+            packed = np.zeros((len(bits) // 64 + 1) * 8, dtype=np.uint8)
+            bytes_ = np.packbits(bits, bitorder="little")
+            packed[: len(bytes_)] = bytes_
+            words = packed.view(np.uint64)
+        self.words = words
         self.before = np.concatenate(([0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)))[:-1]
 
     def rank(self, i: np.ndarray) -> np.ndarray:
@@ -106,9 +111,11 @@ class Bits:
 class WaveletMatrix:
     """Ranks of symbols of a large alphabet: one bit vector for each bit of a symbol."""
 
-    def __init__(self, values: np.ndarray, n_symbols: int):
+    def __init__(self, values: np.ndarray, n_symbols: int, levels: list[tuple[Bits, int]] | None = None):
         self.depth = max(1, int(n_symbols - 1).bit_length())
-        self.levels: list[tuple[Bits, int]] = []
+        self.levels: list[tuple[Bits, int]] = levels or []
+        if levels:
+            return
         for level in range(self.depth - 1, -1, -1):
             ones = (values >> level) & 1 == 1
             self.levels.append((Bits(ones), int(len(values) - ones.sum())))
@@ -137,18 +144,27 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Index of one shard of text, given as code points in which 0 parts the documents."""
+    """Index of one shard of text, given as code points in which 0 parts the documents.
 
-    def __init__(self, codes: np.ndarray):
+    Symbols are told apart by 32 bits of the phrase hash: phrases that share them count as one, which makes candidates, not
+    results, as places are compared with the text. ``stored`` is what ``dump`` gave for the same text.
+    """
+
+    def __init__(self, codes: np.ndarray, stored: bytes | None = None):
         self.codes = codes
         n = len(codes)
+        self.cuts = cuts(codes)
         gaps = np.flatnonzero(codes == 0)
         mark = np.zeros(n + 1, dtype=bool)
-        mark[cuts(codes)] = True
+        mark[self.cuts] = True
         mark[gaps] = mark[gaps + 1] = mark[0] = True
         mark[n] = False
         self.starts = np.flatnonzero(mark)
-        hashes = phrase_hashes(codes, self.starts, np.concatenate((self.starts[1:], [n])))
+        self.size = len(self.starts) + 1
+        if stored is not None:
+            self._load(stored)
+            return
+        hashes = _short(phrase_hashes(codes, self.starts, np.concatenate((self.starts[1:], [n]))))
         self.alphabet, symbols = np.unique(hashes, return_inverse=True)
         symbols = np.concatenate((symbols.astype(np.int64) + 1, [0]))  # 0 ends the text
         order = suffix_array(symbols)
@@ -157,12 +173,34 @@ class FMIndex:
         self.last = WaveletMatrix(symbols[order - 1], n_symbols)
         kept = order % SAMPLE == 0
         self.sampled, self.samples = Bits(kept), order[kept]
-        self.size = len(order)
+
+    def dump(self) -> bytes:
+        """The index without the text and what follows from it at once."""
+        steps = np.diff(self.alphabet.astype(np.int64), prepend=0).astype(np.uint32)
+        counts = np.diff(self.first).astype(np.uint32)
+        parts = [steps, counts, self.samples.astype(np.uint32), self.sampled.words, *(b.words for b, _ in self.last.levels)]
+        sizes = np.array([len(self.last.levels), *(z for _, z in self.last.levels), *(x.nbytes for x in parts)], dtype=np.int64)
+        return len(sizes).to_bytes(4, "little") + sizes.tobytes() + b"".join(x.tobytes() for x in parts)
+
+    def _load(self, stored: bytes) -> None:
+        n = int.from_bytes(stored[:4], "little")
+        sizes = np.frombuffer(stored, dtype=np.int64, count=n, offset=4).tolist()
+        zeros, at, parts = sizes[1 : 1 + sizes[0]], 4 + 8 * n, []
+        for size in sizes[1 + sizes[0] :]:
+            parts.append(stored[at : at + size])
+            at += size
+        steps, counts, samples = (np.frombuffer(x, dtype=np.uint32) for x in parts[:3])
+        words = [np.frombuffer(x, dtype=np.uint64) for x in parts[3:]]
+        self.alphabet = np.cumsum(steps, dtype=np.int64).astype(np.uint32)
+        self.first = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
+        self.sampled, self.samples = Bits(None, words[0]), samples.astype(np.int64)
+        self.last = WaveletMatrix(np.zeros(0), len(self.alphabet) + 1, [(Bits(None, w), z) for w, z in zip(words[1:], zeros)])
 
     def symbols_of(self, hashes: np.ndarray) -> np.ndarray:
         """Symbol of each phrase hash, 0 where the text has no such phrase."""
-        at = np.minimum(np.searchsorted(self.alphabet, hashes), len(self.alphabet) - 1)
-        return np.where(self.alphabet[at] == hashes, at + 1, 0)
+        short = _short(hashes)
+        at = np.minimum(np.searchsorted(self.alphabet, short), len(self.alphabet) - 1)
+        return np.where(self.alphabet[at] == short, at + 1, 0)
 
     def search(self, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows [low, high) of each pattern; patterns is a matrix of symbols, filled from the left."""

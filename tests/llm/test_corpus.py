@@ -41,6 +41,30 @@ def test_index_finds_every_phrase_sequence(text, at, size):
     assert int(index.starts[begin]) in set(index.locate(np.arange(low[0], high[0])).tolist())
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="abcあ漢", max_size=200), min_size=1, max_size=5))
+def test_stored_index_is_the_built_one(texts):
+    codes = np.concatenate([np.frombuffer((t + "\0").encode("utf-32-le"), dtype=np.uint32) for t in texts])
+    built = fmindex.FMIndex(codes)
+    loaded = fmindex.FMIndex(codes, built.dump())
+    assert built.size == loaded.size and (built.alphabet == loaded.alphabet).all() and (built.first == loaded.first).all() and (built.samples == loaded.samples).all()
+    rows_ = np.arange(built.size)
+    assert (built.locate(rows_) == loaded.locate(rows_)).all()
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet="ab", min_size=1, max_size=3), min_size=1, max_size=4), st.lists(st.text(alphabet="abc", max_size=30), min_size=1, max_size=6))
+def test_uniform_runs_are_found(units, fills):
+    run = 20
+    items = [(i, u * 40) for i, u in enumerate(units)]
+    texts = [f + units[i % len(units)] * (5 + 3 * i) + f for i, f in enumerate(fills)]
+    codes = np.concatenate([np.frombuffer((t + "\0").encode("utf-32-le"), dtype=np.uint32) for t in texts])
+    patterns = leakage.Patterns(items, run)
+    begins = np.cumsum([0] + [len(t) + 1 for t in texts])
+    got = {(int(np.searchsorted(begins, a, side="right")) - 1, i) for k, a, _ in patterns.runs_in(fmindex.FMIndex(codes)).tolist() for i in patterns.item_ids[k]}
+    assert got == {(d, i) for d, t in enumerate(texts) for i, x in items if any(x[p : p + run] in t for p in range(len(x) - run + 1))}
+
+
 def plain_leaks(docs, items, run):
     out = set()
     for d, t in docs:
@@ -131,3 +155,26 @@ def test_statistics(spark):
     assert got[2] == (3, 1.0, 0.0, 1.0, round(1 / 3, 6))
     assert got[3] == (0, 0.0, 0.0, 0.0, 0.0) and 4 not in got and got[5][2] == 0.6
     assert quality.statistics(df.limit(0), common.limit(0)).count() == 0
+
+
+def test_long_list_of_common_words_is_joined(spark, monkeypatch):
+    common = spark.createDataFrame([(w,) for w in ("The", "cat", "の", "the")], "word string")
+    df = spark.createDataFrame([(1, "The cat, the dog."), (1, "The cat, the dog."), (2, "猫の耳。"), (3, ""), (None, "the")], "doc_id long, text string")
+    short = rows(quality.statistics(df, common).na.fill(-1))
+    monkeypatch.setattr(quality, "IN_PLAN", 1)
+    assert rows(quality.statistics(df, common).na.fill(-1)) == short and short[1][5] == 0.75
+
+
+def test_labelled_sample_is_bounded_by_characters(spark, monkeypatch):
+    df = spark.createDataFrame([(k, "あ" * (100 if k else 5000)) for k in range(20)], "doc_id long, text string")
+    labels = spark.range(20).select(F.col("id").alias("doc_id"), F.lit("prose").alias("label"))
+    taken = []
+    monkeypatch.setattr(linemodel.LineModel, "fit", staticmethod(lambda rows_: taken.append(sum(len(t) for t, _ in rows_))))
+    quality.fit(df, labels, max_chars=1000)
+    quality.fit(df, labels, max_labelled=3, max_chars=1000)
+    assert taken == [1000, 300]
+
+
+def test_characters_beyond_the_basic_plane_are_told_apart():
+    codes = np.array([ord(c) for c in "𠮷𠮟𝄞😀"], dtype=np.uint32)
+    assert len(set(linemodel._char_bins(codes).tolist())) == 4 and linemodel.char_kinds()[0x20BB7] == 0 and linemodel.char_kinds()[0x1F600] == 3
