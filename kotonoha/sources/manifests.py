@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 from collections.abc import Sequence
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import id_prefix, strip
 from ..operators.integrity import assert_unique
+from ..plans.staging import filesystem
 
 BREAKS = r"\r\n|\n|\r"
 
@@ -117,10 +121,18 @@ def ingest_lines(spark: SparkSession, path: str, *, prefix: str, dataset_id: str
     return good.select(F.concat_ws("_", id_prefix(F.lit(prefix or dataset_id), F.lit(dataset_id)), padded).alias("sample_id"), F.col("line").alias("raw_text"), F.concat(F.lit("line:"), number).alias("source_id"))
 
 
+def _open(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI, or of a path on the driver's side."""
+    return filesystem(path if "://" in path else f"file://{os.path.abspath(path)}")
+
+
 def write_summary(row: DataFrame, path: str) -> None:
-    """A one-row summary as indented JSON on the driver's side."""
-    with open(path, "w", encoding="utf-8", newline="\n") as out:
-        out.write(json.dumps(json.loads(row.toJSON().first()), indent=2, ensure_ascii=False) + "\n")
+    """A one-row summary as indented JSON, at a path or a URI."""
+    text = json.dumps(json.loads(row.toJSON().first()), indent=2, ensure_ascii=False) + "\n"
+    system, where = _open(path)
+    system.create_dir(os.path.dirname(where), recursive=True)
+    with system.open_output_stream(where) as out:
+        out.write(text.encode())
 
 
 def schema_json(schema: T.StructType) -> str:
@@ -139,17 +151,20 @@ def relative(path: Column, root: str) -> Column:
     return F.when(path.startswith(base), F.substr(path, F.lit(len(base) + 1))).otherwise(F.raise_error(F.concat(F.lit("outside the data root: "), path)))
 
 
-def load_table(path: str, fields: Sequence[str], unique: str) -> tuple[list[dict], str]:
-    """A small companion list (JSON with ``entries``) and the SHA-256 of its bytes; checks fields and uniqueness."""
-    import hashlib
+def load_table(path: str, fields: Sequence[str], unique: str, *, entries: str = "entries", most: int = 100_000) -> tuple[list[dict], str]:
+    """A small companion list (JSON with ``entries``), at a path or a URI, and the SHA-256 of its bytes; checks fields and uniqueness.
 
-    with open(path, "rb") as source:
+    It becomes part of plans, so more than ``most`` entries are refused."""
+    system, where = _open(path)
+    with system.open_input_stream(where) as source:
         raw = source.read()
-    entries = json.loads(raw)["entries"]
-    for e in entries:
+    rows = json.loads(raw)[entries]
+    if len(rows) > most:
+        raise ValueError(f"{len(rows)} entries are too many for a companion list")
+    for e in rows:
         missing = [f for f in fields if not str(e.get(f) or "").strip()]
         if missing:
             raise ValueError(f"entry without {missing}: {e}")
-    if len({e[unique] for e in entries}) != len(entries):
+    if len({e[unique] for e in rows}) != len(rows):
         raise ValueError(f"{unique} repeats")
-    return entries, hashlib.sha256(raw).hexdigest()
+    return rows, hashlib.sha256(raw).hexdigest()

@@ -130,3 +130,17 @@ def test_state_at_a_moment(spark):
     df = spark.createDataFrame([("a", 1, None, "x"), ("a", 5, None, "y"), ("b", 1, 3, "x"), ("c", 9, None, "x"), ("d", 1, 3, "x"), ("d", 1, None, "z")], "k string, at int, gone int, v string")
     state = lambda t: sorted((r["k"], r["v"]) for r in hx.as_of(df, ["k"], F.col("at"), F.col("gone"), F.lit(t)).collect())
     assert state(2) == [("a", "x"), ("b", "x"), ("d", "z")] and state(5) == [("a", "y"), ("d", "z")] and state(0) == []
+
+
+def test_companion_lists_and_summaries(spark, tmp_path):
+    path = tmp_path / "list.json"
+    path.write_text('{"version":"1","overrides":[{"surface":"雨","reading_kana":"アメ"},{"surface":"傘","reading_kana":"カサ"}]}')
+    rows, sha = manifests.load_table(str(path), ("surface", "reading_kana"), "surface", entries="overrides")
+    assert [r["surface"] for r in rows] == ["雨", "傘"] and sha == hashlib.sha256(path.read_bytes()).hexdigest()
+    assert manifests.load_table(f"file://{path}", ("surface",), "surface", entries="overrides")[1] == sha
+    for bad in ('{"overrides":[{"surface":" "}]}', '{"overrides":[{"surface":"a"},{"surface":"a"}]}', '{"overrides":[{"surface":"a"},{"surface":"b"},{"surface":"c"}]}'):
+        path.write_text(bad)
+        with pytest.raises(ValueError):
+            manifests.load_table(str(path), ("surface",), "surface", entries="overrides", most=2)
+    manifests.write_summary(spark.range(3).agg(F.count("*").alias("件数")), str(tmp_path / "deep" / "s.json"))
+    assert json.loads((tmp_path / "deep" / "s.json").read_text()) == {"件数": 3}
