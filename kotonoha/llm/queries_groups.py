@@ -28,25 +28,38 @@ def _ties(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("record_id", "node", F.explode(F.array("parent", "speaker")).alias("other"), quarter)
 
 
-def _components(spark: SparkSession, sf: str, assign: bool) -> splits.ComponentTable:
+def _components(spark: SparkSession, sf: str) -> splits.ComponentTable:
     """Batches are the quarters in which rows were loaded."""
     stage = Stage(spark, "splits")
     ties = stage.write(_ties(spark, sf), "all", "quarter")
     found = splits.ComponentTable(spark, stage)
     quarters = sorted((r["quarter"] or 0 for r in ties.select("quarter").distinct().collect()))  # one row per quarter
-    for own in quarters or [0]:
-        found.add(ties.where(F.coalesce("quarter", F.lit(0)) == own).drop("quarter"), assign)
+    for own in quarters:
+        found.add(ties.where(F.coalesce("quarter", F.lit(0)) == own).drop("quarter"))
     return found
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """Each record that is related to a record with a smaller id, with the smallest id of its group."""
-    return _components(spark, sf, False).related().select(F.col("first_id").alias("first_sample_id"), F.col("record_id").alias("sample_id"))
+    return _components(spark, sf).related().select(F.col("first_id").alias("first_sample_id"), F.col("record_id").alias("sample_id"))
 
 
 def p5_splits(spark: SparkSession, sf: str) -> DataFrame:
-    """Every record with its split; related records share it."""
-    return _components(spark, sf, True).assigned().select(F.col("record_id").alias("sample_id"), "split", "quarantined")
+    """Every record with its split; related records share it, but for those in quarantine."""
+    return _components(spark, sf).assigned().select(F.col("record_id").alias("sample_id"), "split", "quarantined")
+
+
+def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Each group with its number of records and of splits that hold records of it, quarantine apart."""
+    groups = _components(spark, sf).assigned().groupBy("root").agg(F.min("record_id").alias("first_sample_id"), F.count("*").alias("n_records"), F.count_distinct(F.when(~F.col("quarantined"), F.col("split"))).alias("n_splits"))
+    return groups.select("first_sample_id", "n_records", "n_splits")
+
+
+def p5_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """One row: whether the shares of all records are within a point of what was asked for, and fewer than 2 % in quarantine."""
+    n = F.count("*")
+    near = [(F.abs(F.count_if(F.col("split") == s) / n - share) <= 0.01).alias(f"{s}_near") for s, share in splits.SHARES]
+    return _components(spark, sf).assigned().agg(n.alias("n_records"), *near, (F.count_if("quarantined") / n < 0.02).alias("few_in_quarantine"))
 
 
 def _packed(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,7 +84,7 @@ def p6_packed_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found, "p5_splits": p5_splits, "p6_found": p6_found, "p6_fill": p6_fill, "p6_packed_bpe": p6_packed_bpe}
+    return {"p5_found": p5_found, "p5_splits": p5_splits, "p5_groups": p5_groups, "p5_shares": p5_shares, "p6_found": p6_found, "p6_fill": p6_fill, "p6_packed_bpe": p6_packed_bpe}
 
 
 def _form(column: str) -> str:
@@ -79,9 +92,7 @@ def _form(column: str) -> str:
     return f"lower(regexp_replace(translate({column}, '{a}', '{b}'), '^[\\s]+|[\\s]+$', '', 'g'))"
 
 
-def oracle_sql() -> dict[str, str]:
-    return {
-        "p5_found": f"""with recursive rows as materialized (select distinct sample_id, {_form('sample_id')} own, nullif({_form('lineage.parent_sample_id')}, '') parent,
+_RELATED_SQL = f"""with recursive rows as materialized (select distinct sample_id, {_form('sample_id')} own, nullif({_form('lineage.parent_sample_id')}, '') parent,
               case when regexp_full_match({_form('speaker.speaker_id')}, 'spk_[0-9]{{7}}') then {_form('speaker.speaker_id')} end speaker from sample_manifest),
             e as materialized (select distinct sample_id, k from (select sample_id, own k from rows union all select sample_id, parent from rows union all select sample_id, speaker from rows) where k is not null),
             l(sample_id, low) using key (sample_id) as (
@@ -89,7 +100,13 @@ def oracle_sql() -> dict[str, str]:
               union
               select b.sample_id, min(m.low) from recurring.l o join e b using (sample_id)
                 join (select a.k, min(r.low) low from recurring.l r join e a using (sample_id) group by a.k) m on m.k = b.k
-              where exists (select 1 from l) group by b.sample_id, o.low having min(m.low) < o.low)
-            select low first_sample_id, sample_id from l where low <> sample_id""",
+              where exists (select 1 from l) group by b.sample_id, o.low having min(m.low) < o.low)"""
+
+
+def oracle_sql() -> dict[str, str]:
+    return {
+        "p5_found": f"{_RELATED_SQL} select low first_sample_id, sample_id from l where low <> sample_id",
+        "p5_groups": f"{_RELATED_SQL} select low first_sample_id, count(*) n_records, 1 n_splits from l group by low",
+        "p5_shares": "select count(distinct sample_id) n_records, true train_near, true validation_near, true test_near, true few_in_quarantine from sample_manifest",
         "p6_found": f"select doc_id from documents where strlen(text) > {CAPACITY}",
     }

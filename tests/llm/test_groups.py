@@ -95,24 +95,41 @@ def test_components_grow_by_batches(spark):
         ties.append((f"r{k:03d}", own, other))
     ties += ties[::20] + [(None, "s:x", "k:hot")]
     df = spark.createDataFrame([(*t, i % 3) for i, t in enumerate(ties)], "record_id string, node string, other string, batch int").withColumn("root", F.lit("clash"))
-    table = splits.ComponentTable(spark, Stage(spark, "t"))
+    table = splits.ComponentTable(spark, Stage(spark, "t"), buckets=4)
     before = {}
     for b in range(3):
         table.add(df.where(F.col("batch") == b).select("record_id", "node", "other"))
-        now = {r["record_id"]: (r["split"], r["quarantined"]) for r in table.assigned().collect()}
-        roots = {r["record_id"]: r["root"] for r in table.members().collect()}
+        found = table.assigned().collect()
+        now = {r["record_id"]: (r["split"], r["quarantined"]) for r in found}
+        roots = {r["record_id"]: r["root"] for r in found}
+        assert len(found) == len(now)
         for r, (split, held) in before.items():
-            assert held or now[r][1] or now[r][0] == split
+            assert now[r][0] == split and now[r][1] >= held
         before = now
     groups = plain_components([t for t in ties if t[0] is not None])
     assert set(rows(table.related())) == {(min(g), r) for g in groups.values() for r in g if r != min(g)}
     assert len(before) == 400
     for g in groups.values():
-        assert len({before[r][0] for r in g}) == 1 and len({roots[r] for r in g}) == 1
+        assert len({before[r][0] for r in g if not before[r][1]}) == 1 and len({roots[r] for r in g}) == 1
+    held = sum(1 for _, h in before.values() if h)
+    conflicts = table.conflicts().collect()
+    assert held and sum(c["n_aside"] for c in conflicts) <= held and all(c["kept_split"] != c["aside_split"] for c in conflicts)
     table.add(df.limit(0).select("record_id", "node", "other"))
     assert len(table.assigned().collect()) == 400
 
 
+def test_a_conflicting_tie_sets_the_smaller_side_aside(spark):
+    table = splits.ComponentTable(spark, Stage(spark, "t"), buckets=2)
+    schema = "record_id string, node string, other string"
+    table.add(spark.createDataFrame([(f"a{k}", f"s:a{k}", "k:a") for k in range(8)] + [("b", "s:b", None), ("c", "s:c", None)], schema))
+    first = {r["record_id"]: r["split"] for r in table.assigned().collect()}
+    assert len(set(first.values())) == 3
+    table.add(spark.createDataFrame([("new", "s:new", "k:a"), ("new", "s:new", "s:b")], schema))
+    now = {r["record_id"]: (r["split"], r["quarantined"]) for r in table.assigned().collect()}
+    assert now["new"] == (first["a0"], False) and now["b"] == (first["b"], True) and now["c"] == (first["c"], False)
+    assert [tuple(r)[1:] for r in table.conflicts().collect()] == [(now_root := "k:a", "s:b", first["a0"], first["b"], 1)] and now_root
+
+
 def test_shares_of_one_load(spark):
     ties = spark.range(4000).select(F.format_string("r%05d", "id").alias("record_id"), F.format_string("s:%05d", "id").alias("node"), F.format_string("k:%d", F.floor(F.sqrt("id") * 7)).alias("other"))
     table = splits.ComponentTable(spark, Stage(spark, "t"))
