@@ -61,7 +61,7 @@ def oracle_sql() -> dict[str, str]:
     word = r"[\p{Han}々]+|\p{Hiragana}+|[\p{Katakana}ー]+|\p{Latin}+|[\p{Greek}\p{Cyrillic}]+|[0-9]+"
     return {
         "p8_lines": r"""with l as (select doc_id, len(list_filter(regexp_split_to_array(text, '\r\n|\n|\r'), lambda x: regexp_matches(x, '[^\s\pZ\p{Cf}\p{Cc}\x{034F}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180F}\x{3164}\x{FFA0}\x{FE00}-\x{FE0F}\x{E0100}-\x{E01EF}]'))) n from documents where text is not null)
-            select doc_id, n n_lines, case when n > 0 then 1.0 else 0.0 end share_sum from l""",
+            select doc_id, n n_lines, cast(n > 0 as double) share_sum from l""",
         "p7_spans": f"""with i as materialized (select distinct * from ({grams.format(key="item_id", bare=bare_oracle("text"), name="eval_items")})),
             d as (select doc_id, unnest(range(1, length(b) - 48)) p, unnest(list_transform(range(1, length(b) - 48), lambda i: substr(b, i, 50))) g from (select doc_id, {bare_oracle("text")} b from documents where text is not null) where length(b) >= 50),
             m as (select doc_id, item_id, p, case when p > lag(p) over (partition by doc_id, item_id order by p) + 50 then 1 else 0 end apart from d join i using (g)),

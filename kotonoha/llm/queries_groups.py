@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,8 @@ from ..sources.tables import table
 from . import packing, splits
 
 CAPACITY = 4096
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: Ranks of a public byte-level tokenizer; workers must be able to read the file.
+TOKENIZER = os.environ.get("KOTONOHA_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 
 
 def _ties(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,10 +58,11 @@ def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_shares(spark: SparkSession, sf: str) -> DataFrame:
-    """One row: whether the shares of all records are within a point of what was asked for, and fewer than 2 % in quarantine."""
-    n = F.count("*")
-    near = [(F.abs(F.count_if(F.col("split") == s) / n - share) <= 0.01).alias(f"{s}_near") for s, share in splits.SHARES]
-    return _components(spark, sf).assigned().agg(n.alias("n_records"), *near, (F.count_if("quarantined") / n < 0.02).alias("few_in_quarantine"))
+    """One row: whether the shares of all records are within a point, or the largest group, of what was asked for."""
+    groups = _components(spark, sf).assigned().groupBy("root").agg(F.count("*").alias("n"), *[F.count_if(F.col("split") == s).alias(s) for s, _ in splits.SHARES])
+    room = F.greatest(F.lit(0.01), F.max("n") / F.sum("n"))
+    near = [(F.abs(F.sum(s) / F.sum("n") - share) <= room).alias(f"{s}_near") for s, share in splits.SHARES]
+    return groups.agg(F.sum("n").alias("n_records"), *near)
 
 
 def _packed(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,9 +75,16 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return packing.split_items(_packed(spark, sf), "doc_id")
 
 
+def p6_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document or piece of one as it was packed, one token per byte."""
+    return _packed(spark, sf).select("doc_id", F.col("piece_no").cast("long").alias("piece_no"), F.col("start").alias("start_at"), F.col("n_tokens").cast("long").alias("n_tokens"))
+
+
 def p6_fill(spark: SparkSession, sf: str) -> DataFrame:
-    """Containers needed and their fill, one token per byte."""
-    return packing.fill_report(_packed(spark, sf), CAPACITY)
+    """One row: tokens packed, containers above the capacity, and whether the rest is filled to 95 percent and more."""
+    packed = _packed(spark, sf)
+    per = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("used"))
+    return per.agg(F.sum("used").alias("n_tokens"), F.count_if(F.col("used") > CAPACITY).alias("n_above"), (F.sum("used") >= 0.95 * CAPACITY * F.count("*")).alias("well_filled"))
 
 
 def p6_packed_bpe(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,7 +94,7 @@ def p6_packed_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p5_found": p5_found, "p5_splits": p5_splits, "p5_groups": p5_groups, "p5_shares": p5_shares, "p6_found": p6_found, "p6_fill": p6_fill, "p6_packed_bpe": p6_packed_bpe}
+    return {"p5_found": p5_found, "p5_splits": p5_splits, "p5_groups": p5_groups, "p5_shares": p5_shares, "p6_found": p6_found, "p6_pieces": p6_pieces, "p6_fill": p6_fill, "p6_packed_bpe": p6_packed_bpe}
 
 
 def _form(column: str) -> str:
@@ -107,6 +117,9 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p5_found": f"{_RELATED_SQL} select low first_sample_id, sample_id from l where low <> sample_id",
         "p5_groups": f"{_RELATED_SQL} select low first_sample_id, count(*) n_records, 1 n_splits from l group by low",
-        "p5_shares": "select count(distinct sample_id) n_records, true train_near, true validation_near, true test_near, true few_in_quarantine from sample_manifest",
+        "p5_shares": "select count(distinct sample_id) n_records, true train_near, true validation_near, true test_near from sample_manifest",
+        "p6_pieces": f"""with d as (select doc_id, max(strlen(text)) n from documents where strlen(text) > 0 group by doc_id), e as (select *, unnest(range(0, (n - 1) // {CAPACITY} + 1)) p from d)
+            select doc_id, p piece_no, p * {CAPACITY} start_at, least({CAPACITY}, n - p * {CAPACITY}) n_tokens from e""",
+        "p6_fill": "select cast(sum(n) as bigint) n_tokens, 0 n_above, true well_filled from (select max(strlen(text)) n from documents group by doc_id)",
         "p6_found": f"select doc_id from documents where strlen(text) > {CAPACITY}",
     }
