@@ -99,13 +99,42 @@ def test_batches_against_history_equal_brute_force(spark):
     df = spark.createDataFrame(records + records[:40], "id string, text string, batch int").withColumn("target", F.lit("clash"))
     first = history.first_deliveries(df, "id", "batch", "text")
     keyed = first.select("id", "batch", history.bare_key("text").alias("k")).select("id", "batch", "k.*")
-    accepted = history.AcceptedHistory(spark, Stage(spark, "t"), shard_texts=120, fan_in=2)
-    got = set()
-    for b in (1, 2, 3, 4):
-        got |= set(rows(accepted.add(keyed.where(F.col("batch") == b).drop("batch"))))
-    assert got == brute(records)
-    assert len(accepted.segments) < 4
-    assert accepted.add(keyed.limit(0).drop("batch")).count() == 0
+    for exact in (False, True):
+        accepted = history.AcceptedHistory(spark, Stage(spark, "t"), shard_texts=120, fan_in=2, exact=exact, buckets=3)
+        assert accepted.turned_away().count() == 0 and accepted.shards().count() == 0
+        got = set()
+        for b in (1, 2, 3, 4):
+            got |= set(rows(accepted.add(keyed.where(F.col("batch") == b).drop("batch"))))
+        assert got == brute(records) and {r[:2] for r in rows(accepted.turned_away())} == got
+        assert len(accepted.segments) < 4 and all(exact or r["recall"] >= 0.97 for r in accepted.shards().collect())
+        assert accepted.add(keyed.limit(0).drop("batch")).count() == 0
+
+
+def test_prefix_filter_loses_no_similar_pair():
+    forms = [r[1] for r in sample_records(150, 8) if r[1]]
+    grams, offsets = history._grams(forms)
+    sets = [set(grams[a:b].tolist()) for a, b in zip(offsets, offsets[1:])]
+    for similarity in (0.5, 0.6, 0.9):
+        got, queries = set(), []
+        for q, t in smallworld.Prefixes(grams, offsets, similarity).sharing(grams, offsets, most=3000):
+            good = smallworld.jaccard(grams, offsets, grams, offsets, q, t) >= similarity
+            got |= set(zip(q[good].tolist(), t[good].tolist()))
+            queries += set(q.tolist())
+        assert len(queries) == len(set(queries))
+        assert got == {(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets) if x and len(x & y) >= similarity * len(x | y) - 1e-12}
+
+
+def test_a_small_batch_touches_only_its_buckets(spark):
+    ledger = copies.CopyLedger(spark, Stage(spark, "t"), 16)
+    keyed = spark.range(2000).select(F.when(F.col("id") < 1, "s").otherwise("t").alias("space"), F.col("id").cast("string").alias("id"), F.xxhash64("id").alias("k1"), F.col("id").alias("k2"))
+    ledger.add(keyed)
+    files = lambda t: set(t.unbucketed().inputFiles())
+    before = [files(t) for t in (ledger._keys, ledger._records)]
+    ledger.add(keyed.limit(1).withColumn("id", F.lit("new")))
+    after = [files(t) for t in (ledger._keys, ledger._records)]
+    assert len(before[0] - after[0]) == 1 == len(after[0] - before[0]) and before[1] < after[1] and len(after[1] - before[1]) == 1
+    plan = ledger._keys.matching([3]).join(keyed, ["space", "k1", "k2"], "full_outer")._jdf.queryExecution().toString()
+    assert "part#" in plan and "SelectedBucketsCount" in plan or "Bucketed: true" in plan
 
 
 def test_graph_recall_against_exhaustive_search():
