@@ -254,7 +254,7 @@ class Graph:
             self.beam = 0
         self.recall = self._recall(trials, grams, offsets)
 
-    def _recall(self, trials: list[tuple], grams: np.ndarray, offsets: np.ndarray, sample: int = 30) -> float:
+    def _recall(self, trials: list[tuple], grams: np.ndarray, offsets: np.ndarray, sample: int = 20) -> float:
         """Share of the texts ALIKE to the first queries of each trial, by exact overlap with every text of the shard, that a search sees."""
         parts, found, n = [], [], 0
         for own, at, sketch, keys in trials:
@@ -268,14 +268,17 @@ class Graph:
             return 1.0
         order = np.argsort(own, kind="stable")
         known, query = own[order], np.repeat(np.arange(n), np.diff(at))[order]
-        low = np.searchsorted(known, grams)
+        perhaps = np.zeros(COUNTERS, dtype=bool)  # lets most go before the search
+        perhaps[(known & np.uint64(COUNTERS - 1)).astype(np.int64)] = True
+        hits = np.flatnonzero(perhaps[(grams & np.uint64(COUNTERS - 1)).astype(np.int64)])
+        low = np.searchsorted(known, grams[hits])
         low[low == len(known)] = 0
-        hits = np.flatnonzero(known[low] == grams)
-        low = low[hits]
+        real = known[low] == grams[hits]
+        hits, low = hits[real], low[real]
         count = np.searchsorted(known, known[low], side="right") - low
         place = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(count.sum())
         texts = len(offsets) - 1
-        owner = np.repeat(np.arange(texts), np.diff(offsets))[hits]
+        owner = np.searchsorted(offsets, hits, side="right") - 1
         shared = np.bincount(query[place] * texts + np.repeat(owner, count), minlength=n * texts).reshape(n, texts)
         q, t = np.nonzero(shared >= ALIKE * (np.diff(at)[:, None] + np.diff(offsets)[None, :] - shared))
         return float(np.isin(q << 32 | t, np.concatenate(found)).mean()) if len(q) else 1.0
