@@ -44,23 +44,29 @@ def review_conditions(pairs: dict[str, tuple[str, ...]]) -> dict[str, Column]:
     return {name: all_equal(*map(_c, paths)) for name, paths in pairs.items()}
 
 
-# Which references must agree before a case goes to review.
+# What must agree, column by column, before a case goes to review.
 REVIEW_PAIRS: dict[str, tuple[str, ...]] = {
-    "one_sample": ("artifact.sample_id", "run.sample_id", "qa.sample_id", "evidence.sample_id"),
+    "one_sample": ("artifact.sample_id", "run.sample_id", "qa.sample_id", "evidence.sample_id", "evidence.logical_case_id"),
     "one_run": ("artifact.run_id", "run.run_id", "qa.run_id", "evidence.artifact_run_id", "evidence.synthesis_run_id"),
     "one_qa": ("qa.qa_id", "evidence.stage9_qa_id"),
+    "one_decision": ("qa.decision", "evidence.observed_evidence.stage9_decision"),
     "one_evidence": ("evidence.evidence_id", "regression.current_evidence_id"),
     "one_case": ("evidence.logical_case_id", "regression.logical_case_id"),
-    "one_audio": ("artifact.audio_sha256", "run.audio_sha256", "evidence.audio_sha256"),
-    "one_backend": ("artifact.backend", "run.backend", "evidence.tts_backend"),
-    "one_model": ("artifact.model_name", "run.model_name", "evidence.tts_model_name"),
-    "one_speaker": ("artifact.speaker", "run.speaker", "evidence.speaker"),
-    "one_config": ("run.config_fingerprint_sha256", "evidence.synthesis_config_fingerprint_sha256"),
-    "one_input": ("artifact.synthesis_text", "run.synthesis_text", "evidence.synthesis_input"),
-    "one_policy": ("regression.policy_fingerprint_sha256", "evidence.policy_fingerprint_sha256"),
+    "one_audio": ("artifact.audio_sha256", "run.audio_sha256", "qa.expected_audio_sha256", "qa.observed_audio_sha256", "evidence.audio_sha256"),
+    "one_text": ("artifact.input_text", "evidence.normalized_text"),
+    "one_input": ("artifact.synthesis_text", "evidence.synthesis_input", "qa.actual_synthesis_text"),
+    "one_backend": ("artifact.backend", "evidence.tts_backend"),
+    "one_model": ("artifact.model_name", "evidence.tts_model_name"),
+    "one_speaker": ("artifact.speaker", "evidence.speaker"),
 }
 
 
+def review_chain() -> dict[str, Column]:
+    """What must hold for artifact, run, qa, evidence and regression of a case before it goes to review."""
+    same_issues = F.col("evidence.observed_evidence.stage9_issue_codes") == F.col("qa.decision_reasons")
+    return {"run_succeeded": F.col("run.status") == "success", **review_conditions(REVIEW_PAIRS), "same_issues": same_issues}
+
+
 def planning_conditions(sample: str = "sample", preparation: str = "preparation", curation: str = "curation") -> dict[str, Column]:
     """What must hold before a text is synthesised: both reports are there and say what the sample says."""
     reading = f"{preparation}.reading"

@@ -123,7 +123,25 @@ def test_chain_conditions(spark):
     rows = [(good, good, run, good, curation), (good, ("s", "r", "q", "h2", "h", "k", "t2", None, None), run, (*good[:7], "failed", "pass"), None)]
     df = spark.createDataFrame(rows, ", ".join(f"{n} {part}" for n in ("passed", "artifact", "run", "qa", "curation")))
     assert [r[0] for r in df.select(chains.problems(chains.evidence_conditions())).collect()] == [[], ["qa_completed", "curation_passed", "one_sample", "one_audio", "one_input"]]
-    assert len(chains.planning_conditions()) == 8 and len(chains.review_conditions(chains.REVIEW_PAIRS)) == len(chains.REVIEW_PAIRS)
+    assert len(chains.planning_conditions()) == 8
+
+
+def test_review_chain(spark):
+    kinds = {"artifact": "audio_artifact", "run": "synthesis_run", "qa": "qa_result", "evidence": "evidence", "regression": "regression"}
+    values = {c: "v" for own in kinds.values() for c in records.CONTRACTS[own].schema.names} | {"status": "success", "decision": "pass", "decision_reasons": []}
+
+    def record(kind, **more):
+        if kind == "evidence":
+            return evidence("v", **({k: "v" for k in ("evidence_id", "sample_id")} | {"observed_evidence": evidence("v")["observed_evidence"] | {"stage9_decision": "pass"}} | more))
+        return {f.name: (values | more)[f.name] if f.dataType.typeName() == "string" or f.name in ("decision_reasons",) else None for f in records.CONTRACTS[kind].schema.fields}
+
+    good = [record(k) for k in kinds.values()]
+    bad = [record("audio_artifact", speaker="x"), record("synthesis_run", status="failed"), record("qa_result", decision_reasons=["c"], actual_synthesis_text="x"), record("evidence", audio_sha256=None), record("regression", logical_case_id="x")]
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField(n, records.CONTRACTS[k].schema) for n, k in kinds.items()])
+    df = spark.createDataFrame([tuple(good), tuple(bad)], schema)
+    assert [r[0] for r in df.select(chains.problems(chains.review_chain())).collect()] == [[], ["run_succeeded", "one_case", "one_audio", "one_input", "one_speaker", "same_issues"]]
 
 
 def test_state_at_a_moment(spark):
