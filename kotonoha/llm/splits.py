@@ -25,7 +25,7 @@ id are ignored; other columns are ignored. All rows of a record must give the sa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import compare_form
@@ -116,7 +116,9 @@ class ComponentTable:
         best = F.max(F.when(~F.col("fresh"), F.struct("n_records", "root", "split"))).alias("best")
         groups = roots.groupBy("low").agg(best, F.coalesce(F.sum("n_new"), F.lit(0)).alias("n_new"))
         groups = groups.select("low", F.coalesce("best.root", "low").alias("winner"), F.col("best.split").alias("kept"), "n_new")
-        groups = self.stage.write(self._with_split(self.stage.write(groups, "groups")), "assigned")
+        seen = Observation()
+        groups = self.stage.write(groups.observe(seen, F.sum("n_new").alias("n")), "groups")
+        groups = self._with_split(groups, seen.get["n"] or 0)
         owners = roots.join(groups.select("low", "winner", F.col("split").alias("to_split")), "low")
         lost = F.col("split").isNotNull() & (F.col("split") != F.col("to_split"))
         owners = self.stage.write(owners.select("root", "winner", "fresh", "n_records", "split", "to_split", lost.alias("lost")), "owners")
@@ -131,19 +133,23 @@ class ComponentTable:
             rows = rows.join(self._touched(self._records, ties.select("record_id"), n).select("record_id"), "record_id", "left_anti")
         self._records.append(rows, placed=known)
 
-    def _with_split(self, groups: DataFrame) -> DataFrame:
+    def _with_split(self, groups: DataFrame, n_new: int) -> DataFrame:
         """(low, winner, split, n_new): split of every touched component; those without one fill the deficits."""
         bucket = F.pmod(F.xxhash64("low"), F.lit(BUCKETS)).cast("int")
-        total = sum(self._have.values()) + (groups.agg(F.sum("n_new")).first()[0] or 0)
-        new = groups.where("kept is null").withColumn("great", F.col("n_new") * 1000 > total)
-        # At most 1,000 components above a thousandth, and BUCKETS sums, come to the driver.
-        sizes = new.groupBy(F.when(F.col("great"), F.col("low")).alias("root"), F.when(~F.col("great"), bucket).alias("bucket")).agg(F.sum("n_new").alias("n")).collect()
-        grown = {r["kept"]: r["n"] for r in groups.where("kept is not null").groupBy("kept").agg(F.sum("n_new").alias("n")).collect()}
-        for s in self._have:
-            self._have[s] += grown.get(s, 0)
+        total = sum(self._have.values()) + n_new
+        great = F.col("kept").isNull() & (F.col("n_new") * 1000 > total)
+        small = F.col("kept").isNull() & ~great
+        # At most 1,000 components above a thousandth, BUCKETS sums and one for each split come to the driver.
+        keys = [F.col("kept"), F.when(great, F.col("low")).alias("root"), F.when(small, bucket).alias("bucket")]
+        open_ = []
+        for r in groups.groupBy(*keys).agg(F.sum("n_new").alias("n")).collect():
+            if r["kept"] is None:
+                open_.append(r)
+            else:
+                self._have[r["kept"]] += r["n"]
         lacks = {s: share * total - self._have[s] for s, share in self.shares}
         chosen: list[tuple] = []
-        for r in sorted(sizes, key=lambda r: (r["root"] is None, -r["n"], r["root"] or "", r["bucket"] or 0)):
+        for r in sorted(open_, key=lambda r: (r["root"] is None, -r["n"], r["root"] or "", r["bucket"] or 0)):
             to = max(lacks, key=lambda s: (lacks[s], s))
             lacks[to] -= r["n"]
             self._have[to] += r["n"]
@@ -157,7 +163,7 @@ class ComponentTable:
         lost = owners.where("lost").select("root", F.col("n_records").alias("n"), "split", F.lit(True).alias("aside"))
         added = owners.where("not fresh and not lost").groupBy("winner").agg(F.sum("n_records").alias("n_old"))
         won = groups.join(added, "winner", "left").select(F.col("winner").alias("root"), (F.col("n_new") + F.coalesce("n_old", F.lit(0))).alias("n"), "split", F.lit(False).alias("aside"))
-        update = self.stage.write(won.unionByName(lost), "update")
+        update = won.unionByName(lost)
         if self._parts.empty:
             self._parts.append(update.select("root", F.col("n").alias("n_records"), "split", F.col("aside").alias("quarantined")))
             return
